@@ -9,19 +9,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldtally.functions import source_name, source_url
 
-REGISTRY = "name string, url string, job_count int, producer_online boolean"
-
 # The known sources.
-_KNOWN_SOURCES = {
-    "gbif": "https://gbif.org",
-    "obis": "https://obis.org",
-    "idigbio": "https://idigbio.org",
-}
+_KNOWN_SOURCES = """
+    SELECT name, url, 0 AS job_count, false AS producer_online
+    FROM VALUES
+        ('gbif', 'https://gbif.org'),
+        ('obis', 'https://obis.org'),
+        ('idigbio', 'https://idigbio.org')
+    AS known(name, url)
+"""
 
 
 def known_sources(spark: SparkSession) -> DataFrame:
-    rows = [(name, url, 0, False) for name, url in _KNOWN_SOURCES.items()]
-    return spark.createDataFrame(rows, REGISTRY)
+    """The sources before any of them has been started."""
+    return spark.sql(_KNOWN_SOURCES)
 
 
 def active_sources(registry: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ COUNT_KINDS = ("kingdom", "species", "source")
 
 # One row of (topic, order columns) each; far below what an executor can hold.
 _BROADCAST_TOPICS = 10_000
+_CORRUPT = "_corrupt_record"
 
 
 def result_topic(name: Column) -> Column:
@@ -50,67 +51,59 @@ def result_messages(documents: DataFrame) -> DataFrame:
     return messages.drop("document")
 
 
-def parse_results(
+def readable(
     log: DataFrame, topics: Sequence[str], order_by: Sequence[str] = ("offset",)
 ) -> DataFrame:
-    """Documents of the given result topics, each topic up to its first unreadable message.
+    """The given topics' messages, each topic up to its first one that is no result document.
 
-    Unreadable is what does not parse as a result document. What a topic holds from that message
-    on is left out, as a reader that stops there would not see it either.
+    What a topic holds from that message on is left out, as a reader that stops there would not
+    see it either. The rest of the log is passed on as it is, without a shuffle.
     """
-    corrupt = "_corrupt_record"
+    checked = log.where(F.col("topic").isin(list(topics)))
     document = F.from_json(
-        "value", f"{RESULT_DOCUMENT}, {corrupt} string", {"columnNameOfCorruptRecord": corrupt}
-    )
-    parsed = (
-        log.where(F.col("topic").isin(list(topics)))
-        .withColumn("document", document)
-        .withColumn("readable", F.col("document").isNotNull() & F.col(f"document.{corrupt}").isNull())
-    )
-    first_bad = (
-        parsed.where(~F.col("readable"))
-        .groupBy("topic")
-        .agg(F.min(_order(order_by)).alias("first_bad"))
+        "value", f"{RESULT_DOCUMENT}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT}
     )
+    bad = document.isNull() | document[_CORRUPT].isNotNull()
+    first_bad = checked.where(bad).groupBy("topic").agg(F.min(_order(order_by)).alias("first_bad"))
     # At most one row per listed topic; a longer list is left to the optimizer's own size check.
     if len(topics) <= _BROADCAST_TOPICS:
         first_bad = F.broadcast(first_bad)
     before = F.col("first_bad").isNull() | (_order(order_by) < F.col("first_bad"))
-    return (
-        parsed.join(first_bad, "topic", "left")
-        .where(before)
-        .withColumn("document", F.col("document").dropFields(corrupt))
-        .select("topic", *order_by, "document")
-    )
+    return checked.join(first_bad, "topic", "left").where(before).drop("first_bad")
+
+
+def open_documents(log: DataFrame) -> DataFrame:
+    """Replace each message's text by its ``document``."""
+    return log.withColumn("document", F.from_json("value", RESULT_DOCUMENT)).drop("value")
 
 
-def latest(results: DataFrame, order_by: Sequence[str] = ("offset",)) -> DataFrame:
-    """The last row of each topic.
+def latest(log: DataFrame, order_by: Sequence[str] = ("offset",)) -> DataFrame:
+    """The last message of each topic.
 
     ``max_by`` keeps one row per topic and task, so only those are shuffled.
     """
-    values = [name for name in results.columns if name != "topic"]
+    values = [name for name in log.columns if name != "topic"]
     last = F.max_by(F.struct(*values), _order(order_by)).alias("last")
-    return results.groupBy("topic").agg(last).select("topic", "last.*")
+    return log.groupBy("topic").agg(last).select("topic", "last.*")
 
 
-def active_results(results: DataFrame, registry: DataFrame) -> DataFrame:
-    """Rows of the active sources; a source without any row is simply not there."""
+def active_results(log: DataFrame, registry: DataFrame) -> DataFrame:
+    """Messages of the active sources; a source without any is simply not there."""
     topics = active_sources(registry).select(result_topic(F.col("name")).alias("topic"))
-    return results.join(topics, "topic", "left_semi")
+    return log.join(topics, "topic", "left_semi")
 
 
 def count_by(
-    results: DataFrame, by: str, registry: DataFrame, order_by: Sequence[str] = ("offset",)
+    log: DataFrame, by: str, registry: DataFrame, order_by: Sequence[str] = ("offset",)
 ) -> DataFrame:
-    """Merge the latest document of every active source.
+    """Merge the latest document of every active source in a readable log.
 
     ``kingdom``: counts added by exact name, missing names together. ``species``: the sum of the
     sources' own estimates, one row, 0 without any document. ``source``: each source's record count.
     """
     if by not in COUNT_KINDS:
         raise ValueError(f"cannot count by {by!r}; choose from {', '.join(COUNT_KINDS)}")
-    documents = latest(active_results(results, registry), order_by)
+    documents = open_documents(latest(active_results(log, registry), order_by))
     if by == "kingdom":
         entries = documents.select(F.explode("document.kingdom").alias("entry"))
         label = kingdom_label(F.col("entry.kingdom")).alias("kingdom")

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from fieldtally.operators.registry import REGISTRY
 from fieldtally.operators.results import build_documents, result_messages
 from fieldtally.schemas import CORE_FIELDS
 from fieldtally.sources.messages import file_stream
@@ -203,11 +202,7 @@ def event_registry(events: DataFrame, idle: str | None = None) -> DataFrame:
         F.concat(F.lit("https://"), F.col("topic"), F.lit(".org")).alias("url"),
         "job_count",
         (F.col("job_count") > 0).alias("producer_online"),
-    ).to(spark_schema(events))
-
-
-def spark_schema(df: DataFrame):
-    return df.sparkSession.createDataFrame([], REGISTRY).schema
+    )
 
 
 def day_number(ts: str) -> Column:

@@ -258,7 +258,7 @@ def read_results(spark, sf_dir):
     """Each document of a log in which one source's messages become unreadable."""
     log = mirror.broken_results(_events(spark, sf_dir))
     document = F.col("document")
-    return results.parse_results(log, RESULT_TOPICS).select(
+    return results.open_documents(results.readable(log, RESULT_TOPICS)).select(
         "topic",
         "offset",
         F.array_size(document["kingdom"]).alias("kingdoms"),
@@ -271,7 +271,7 @@ def read_results(spark, sf_dir):
 @registered
 def latest_results(spark, sf_dir):
     log = mirror.broken_results(_events(spark, sf_dir))
-    last = results.latest(results.parse_results(log, RESULT_TOPICS))
+    last = results.open_documents(results.latest(results.readable(log, RESULT_TOPICS)))
     return last.select("topic", "offset", F.explode("document.kingdom").alias("entry")).select(
         "topic", "offset", "entry.kingdom", "entry.count"
     )
@@ -279,7 +279,7 @@ def latest_results(spark, sf_dir):
 
 def _count_by(spark: SparkSession, sf_dir: str, by: str, idle: str | None = None) -> DataFrame:
     events = _events(spark, sf_dir)
-    log = results.parse_results(mirror.daily_results(events), RESULT_TOPICS)
+    log = results.readable(mirror.daily_results(events), RESULT_TOPICS)
     return results.count_by(log, by, mirror.event_registry(events, idle))
 
 
@@ -424,7 +424,7 @@ def live_counts(spark, sf_dir):
     )
     sinks.run_for(query)
     log = read_result_log(spark, mirror.TOPICS, "parquet", path=path)
-    last = results.latest(results.parse_results(log, RESULT_TOPICS))
+    last = results.open_documents(results.latest(results.readable(log, RESULT_TOPICS)))
     return last.select("topic", "document", F.explode("document.kingdom").alias("entry")).select(
         "topic",
         "document.source_name",
@@ -454,4 +454,4 @@ def add_source(spark, sf_dir):
         sinks.run_for(started.query)
         sources = started.registry
     log = read_result_log(spark, mirror.TOPICS, "parquet", path=path)
-    return results.count_by(results.parse_results(log, RESULT_TOPICS), "source", sources)
+    return results.count_by(results.readable(log, RESULT_TOPICS), "source", sources)
