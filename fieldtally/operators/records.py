@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from fieldtally.schemas import CORE_FIELDS, SOURCES, check_source, core_schema_for, schema_for
 
@@ -18,14 +19,19 @@ CORE_COLUMNS = ("topic", "kingdom", "scientificName")
 _CORE_STRUCT = "struct<kingdom: string, scientificName: string>"
 
 
-def parse_json(df: DataFrame, schema: str, column: str = "value") -> DataFrame:
+def parse_json(df: DataFrame, schema: str | StructType, column: str = "value") -> DataFrame:
     """Replace the frame by the fields of one JSON text column."""
     return df.select(F.from_json(column, schema).alias(column)).select(f"{column}.*")
 
 
-def parse_records(messages: DataFrame, source: str) -> DataFrame:
-    """All fields of one source's records. ``messages`` holds that source's messages only."""
-    return parse_json(messages, schema_for(source))
+def parse_records(
+    messages: DataFrame, source: str, fields: Sequence[str] | None = None
+) -> DataFrame:
+    """One source's records with all their fields, or with the named ones only.
+
+    ``messages`` holds that source's messages only.
+    """
+    return parse_json(messages, schema_for(source, fields))
 
 
 def core_columns(records: DataFrame, source: str) -> DataFrame:

@@ -15,7 +15,7 @@ BatchWriter = Callable[[DataFrame, int], None]
 
 # For state of a few rows per source: without it every trigger would run a task and keep a state
 # file for each of the session's shuffle partitions.
-SMALL_STATE = {"spark.sql.shuffle.partitions": "8"}
+SMALL_STATE = {"spark.sql.shuffle.partitions": "4"}
 
 # For state that grows with the data: kept on the executors' disks instead of their heap.
 LARGE_STATE = {

@@ -1,0 +1,76 @@
+import json
+
+import pytest
+
+from fieldtally.operators.records import parse_records
+from fieldtally.sources.pages import page_status, unnest_pages
+
+
+def pages(spark, *texts):
+    return spark.createDataFrame(list(enumerate(texts)), "n int, page string")
+
+
+def records(spark, source, *texts):
+    rows = unnest_pages(pages(spark, *texts), source).collect()
+    assert all(row["topic"] == source for row in rows)
+    return [row["value"] for row in rows]
+
+
+def status(spark, source, *texts, **options):
+    rows = page_status(pages(spark, *texts), source, **options).orderBy("n").collect()
+    return [tuple(row)[1:] for row in rows]
+
+
+def test_results_pages(spark):
+    page = '{"offset":0,"count":9,"endOfRecords":false,"results":[{"key":1},{"key":2}],"facets":[]}'
+    empty = '{"endOfRecords":true,"results":[]}'
+    assert records(spark, "gbif", page, empty) == ['{"key":1}', '{"key":2}']
+    assert status(spark, "gbif", page, empty) == [(2, False, None), (0, True, None)]
+
+
+def test_items_pages(spark):
+    page = '{"itemCount":300,"items":[{"uuid":"u","data":{"dwc:kingdom":"A"}},{"data":{"id":"é"}}]}'
+    last = '{"itemCount":100,"items":[]}'
+    assert records(spark, "idigbio", page, last) == ['{"dwc:kingdom":"A"}', '{"id":"é"}']
+    assert status(spark, "idigbio", page, last) == [(2, False, None), (0, True, None)]
+    assert status(spark, "idigbio", page, page_size=300) == [(2, True, None)]
+
+
+def test_cursor_pages(spark):
+    page = '{"total":5,"results":[{"id":"a"},{"id":"b"}]}'
+    assert records(spark, "obis", page, '{"results":[]}') == ['{"id":"a"}', '{"id":"b"}']
+    assert status(spark, "obis", page, '{"results":[]}') == [(2, False, "b"), (0, True, None)]
+
+
+def test_unreadable_pages(spark):
+    bad = ["<html>", '{"results":[{"id":1}', "", None, '{"other":1}']
+    assert records(spark, "gbif", *bad) == []
+    assert status(spark, "obis", *bad) == [(None, None, None)] * len(bad)
+    with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
+        unnest_pages(pages(spark, bad[0]), "gbif", mode="FAILFAST").collect()
+
+
+def test_raw_control_characters_inside_strings(spark):
+    values = records(spark, "gbif", '{"results":[{"kingdom":"a\tb\nc"}]}')
+    assert [json.loads(value) for value in values] == [{"kingdom": "a\tb\nc"}]
+
+
+def test_a_missing_record_stays_as_an_empty_message(spark):
+    assert records(spark, "gbif", '{"results":[null,{"key":1}]}') == [None, '{"key":1}']
+
+
+def test_records_keep_nested_values_and_numbers(spark):
+    record = {"key": 7, "extensions": {"x": [{"p": 1}]}, "decimalLatitude": -12.125, "media": [None]}
+    unnested = unnest_pages(pages(spark, json.dumps({"results": [record]})), "gbif")
+    row = parse_records(unnested, "gbif").first()
+    assert (row["key"], row["decimalLatitude"]) == (7, -12.125)
+    assert row["extensions"] == {"x": '[{"p":1}]'}
+
+
+def test_another_column_and_unknown_source(spark):
+    df = spark.createDataFrame([('{"results":[{"id":"a"}]}',)], "body string")
+    assert unnest_pages(df, "obis", column="body").first()["value"] == '{"id":"a"}'
+    with pytest.raises(ValueError):
+        unnest_pages(df, "ebird", column="body")
+    with pytest.raises(ValueError):
+        page_status(df, "ebird", column="body")

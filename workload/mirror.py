@@ -76,7 +76,11 @@ def damaged_messages(events: DataFrame) -> DataFrame:
 
 
 def full_messages(events: DataFrame, source: str) -> DataFrame:
-    """Every event as a record of one source, with a field of each type it has."""
+    """Every event as a record of one source, with a field of each type it has.
+
+    Some event types carry a value that does not fit its field: too large for an int, a fraction
+    for an int, text for an int.
+    """
     seen = observations(events)
     record = {"gbif": _gbif_record, "idigbio": _idigbio_record, "obis": _obis_record}[source]()
     value = F.to_json(F.struct(*record), {"ignoreNullFields": "false"})
@@ -85,10 +89,11 @@ def full_messages(events: DataFrame, source: str) -> DataFrame:
 
 def _gbif_record() -> list[Column]:
     place = F.struct(F.col("topic").alias("gid"), F.col("event_type").alias("name"))
+    purchase, signup = F.col("event_type") == "purchase", F.col("event_type") == "signup"
     return [
         F.col("event_id").alias("key"),
-        (F.col("user_id") * 100_000_000).alias("taxonKey"),
-        (F.col("user_id") + 0.5).alias("crawlId"),
+        (F.col("user_id") + F.when(purchase, 4_000_000_000).otherwise(0)).alias("taxonKey"),
+        F.when(signup, F.col("user_id") + 0.5).alias("crawlId"),
         F.create_map(F.lit("props"), F.from_json("props", "k int")).alias("extensions"),
         F.col("value").alias("decimalLatitude"),
         F.create_map(F.lit("level0"), place).alias("gadm"),
@@ -121,7 +126,7 @@ def _obis_record() -> list[Column]:
         F.col("event_id").cast("string").alias("id"),
         F.col("value").alias("sst"),
         F.col("user_id").alias("aphiaID"),
-        F.col("user_id").cast("string").alias("depth"),
+        F.when(F.col("event_type") == "view", F.lit("7")).alias("depth"),
         (F.col("event_type") == "error").alias("dropped"),
         F.array("event_type").alias("node_id"),
         F.col("kingdom").alias("Kingdom"),

@@ -77,7 +77,7 @@ ORACLE_SQL = {
     """,
     "parse_full_gbif": f"""
         SELECT CAST(event_id AS INTEGER) AS key,
-               TRY_CAST(user_id * 100000000 AS INTEGER) AS taxon_key,
+               CAST(CASE WHEN event_type <> 'purchase' THEN user_id END AS INTEGER) AS taxon_key,
                CAST(NULL AS INTEGER) AS crawl_id,
                replace(props, ' ', '') AS props,
                value AS latitude,

@@ -110,7 +110,9 @@ def parse_full_obis(spark, sf_dir):
 def union_sources(spark, sf_dir):
     decoded = decode_value(mirror.messages(_events(spark, sf_dir)))
     per_source = {
-        name: records.parse_records(decoded.where(F.col("topic") == name), name)
+        name: records.parse_records(
+            decoded.where(F.col("topic") == name), name, records.CORE_FIELDS[name].values()
+        )
         for name in mirror.TOPICS
     }
     return aggregates.kingdom_counts(records.union_sources(per_source))
@@ -121,13 +123,9 @@ def union_sources(spark, sf_dir):
 
 def _page_records(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     pages = mirror.document_pages(_documents(spark, sf_dir), source)
-    fields = records.CORE_FIELDS[source]
-    full = records.parse_records(unnest_pages(pages, source), source)
-    return full.select(
-        F.col(mirror.LINE_ID[source]).alias("line_id"),
-        F.col(fields["kingdom"]).alias("kingdom"),
-        F.col(fields["scientificName"]).alias("scientific_name"),
-    )
+    fields = [mirror.LINE_ID[source], *records.CORE_FIELDS[source].values()]
+    lines = records.parse_records(unnest_pages(pages, source), source, fields)
+    return lines.toDF("line_id", "kingdom", "scientific_name")
 
 
 @registered
