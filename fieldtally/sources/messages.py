@@ -6,6 +6,7 @@ includes ``topic`` and ``value``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -78,15 +79,18 @@ def read_result_log(
 ) -> DataFrame:
     """Every result message of the named sources from the beginning, as a batch.
 
-    From the broker the columns are ``topic, partition, offset, timestamp, value``. A table of
-    results written by ``sinks.result_writer`` has ``topic, offset, value``.
+    A source that has published nothing yet is skipped. From the broker the columns are ``topic,
+    partition, offset, timestamp, value``. A table of results written by ``sinks.result_writer``
+    has ``topic, offset, value``.
     """
     topics = [name + RESULT_SUFFIX for name in names]
     if not topics:
         raise ValueError("at least one source is needed")
     if fmt == BROKER:
+        # A list of topics would fail on one that does not exist yet, a pattern passes over it.
         scan = {
-            **broker_options(servers, topics),
+            **broker_options(servers),
+            "subscribePattern": "|".join(re.escape(topic) for topic in topics),
             "startingOffsets": "earliest",
             "endingOffsets": "latest",
             **(options or {}),

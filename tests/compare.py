@@ -14,6 +14,24 @@ def oracle_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+# How the types of both engines answer to each other.
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "string": "VARCHAR",
+}
+
+
+def spark_types(df) -> dict[str, str]:
+    return {name: TYPES[kind] for name, kind in df.dtypes}
+
+
+def oracle_types(connection, sql: str) -> dict[str, str]:
+    return {row[0]: row[1] for row in connection.execute(f"DESCRIBE {sql}").fetchall()}
+
+
 def spark_rows(df) -> tuple[list[str], list[tuple]]:
     names = sorted(df.columns)
     return names, _sorted(tuple(row[name] for name in names) for row in df.collect())

@@ -7,6 +7,7 @@ from fieldtally.sources.messages import (
     message_stream,
     read_result_log,
 )
+from fieldtally.streaming.sinks import publish
 
 
 def test_broker_options():
@@ -51,3 +52,73 @@ def test_result_log_of_files_holds_the_named_sources(spark, tmp_path):
     log = read_result_log(spark, ["gbif", "idigbio"], "parquet", path=path)
     assert set(log.columns) == {"topic", "offset", "value"}
     assert [(r["topic"], r["offset"], r["value"]) for r in log.collect()] == [("gbif_query", 0, "a")]
+
+
+class Recorder:
+    """Stands in for a session's reader or a frame's writer and keeps what it is asked for."""
+
+    def __init__(self):
+        self.calls = {}
+        self.read = self.readStream = self.write = self
+
+    def format(self, name):
+        self.calls["format"] = name
+        return self
+
+    def mode(self, name):
+        self.calls["mode"] = name
+        return self
+
+    def options(self, **options):
+        self.calls["options"] = options
+        return self
+
+    def load(self):
+        return self
+
+    def save(self):
+        self.calls["saved"] = True
+
+    def select(self, *columns):
+        return self
+
+
+def test_stream_of_the_broker():
+    asked = message_stream(
+        Recorder(), ["gbif", "obis"], servers=["a:1", "b:2"], options={"minPartitions": "64"}
+    ).calls
+    assert asked == {
+        "format": "kafka",
+        "options": {
+            "kafka.bootstrap.servers": "a:1,b:2",
+            "subscribe": "gbif,obis",
+            "startingOffsets": "latest",
+            "minPartitions": "64",
+        },
+    }
+    earliest = message_stream(Recorder(), ["gbif"], servers=["a:1"], starting_offsets="earliest")
+    assert earliest.calls["options"]["startingOffsets"] == "earliest"
+
+
+def test_result_log_of_the_broker(spark):
+    asked = read_result_log(Recorder(), ["gbif", "obis"], servers=["a:1"]).calls
+    assert asked == {
+        "format": "kafka",
+        "options": {
+            "kafka.bootstrap.servers": "a:1",
+            "subscribePattern": "gbif_query|obis_query",
+            "startingOffsets": "earliest",
+            "endingOffsets": "latest",
+        },
+    }
+
+
+def test_publish_to_the_broker():
+    recorder = Recorder()
+    publish(recorder, options=broker_options(["a:1"]))
+    assert recorder.calls == {
+        "format": "kafka",
+        "mode": "append",
+        "options": {"kafka.bootstrap.servers": "a:1"},
+        "saved": True,
+    }

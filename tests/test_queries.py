@@ -3,7 +3,13 @@ import os
 import pytest
 
 import __spark_entry__ as contract
-from tests.compare import oracle_connection, oracle_rows, spark_rows
+from tests.compare import (
+    oracle_connection,
+    oracle_rows,
+    oracle_types,
+    spark_rows,
+    spark_types,
+)
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -23,8 +29,11 @@ def test_entry_has_rows(spark):
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query_equals_sql(spark, connection, name):
-    expected = oracle_rows(connection, contract.oracle_sql()[name])
-    actual = spark_rows(contract.queries()[name](spark, SF_DIR))
+    sql = contract.oracle_sql()[name]
+    expected = oracle_rows(connection, sql)
+    result = contract.queries()[name](spark, SF_DIR)
+    actual = spark_rows(result)
+    assert spark_types(result) == oracle_types(connection, sql)
     assert actual[0] == expected[0]
     assert len(actual[1]) == len(expected[1])
     assert actual[1] == expected[1]
