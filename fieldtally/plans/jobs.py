@@ -18,9 +18,11 @@ from fieldtally.operators.registry import find_source, mark_started
 from fieldtally.operators.results import RESULT_SUFFIX
 from fieldtally.schemas import SOURCES
 from fieldtally.sources.messages import BROKER, decode_value, message_stream
+from fieldtally.sources.pages import unnest_pages
 from fieldtally.streaming.sinks import (
     LARGE_STATE,
     SMALL_STATE,
+    record_messages,
     result_writer,
     snapshot_writer,
     start_query,
@@ -37,6 +39,28 @@ class StartedSource(NamedTuple):
     registry: DataFrame
 
 
+def page_messages(pages: DataFrame, source: str, column: str = "page") -> DataFrame:
+    """Landed pages as messages to the source's topic, one per record; batch or stream."""
+    return record_messages(unnest_pages(pages, source, column))
+
+
+def start_producer(
+    pages: DataFrame,
+    source: str,
+    checkpoint: str,
+    fmt: str = BROKER,
+    options: Mapping[str, str] | None = None,
+    name: str = "producer",
+    column: str = "page",
+    every: str | None = LIVE_TRIGGER,
+) -> StreamingQuery:
+    """Publish the records of a source's pages as they land."""
+    messages = page_messages(pages, source, column)
+    return start_query(
+        messages, name, checkpoint, fmt=fmt, mode="append", every=every, options=options
+    )
+
+
 def category_report(messages: DataFrame, topics: Sequence[str] = SOURCES) -> DataFrame:
     """One row per source with its category counts; batch or stream."""
     return category_counts(_core(messages, topics))
@@ -94,13 +118,18 @@ def start_kingdom_exact(
     name: str = "kingdom_exact",
     topics: Sequence[str] = SOURCES,
     every: str | None = LIVE_TRIGGER,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Exact distinct names per kingdom, kept by ``epoch_id``.
 
     State is one small row per name, spread by its hash and held outside the heap, so no kingdom's
     names have to fit in one row or task. Each trigger reads all of it; where that is too much,
-    the estimates of the other jobs have a state of fixed size.
+    the estimates of the other jobs have a state of fixed size. ``state_partitions`` (by default
+    the session's shuffle partitions) hold from the first start on.
     """
+    settings = dict(LARGE_STATE)
+    if state_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
     keep = snapshot_writer(path)
 
     def fold_and_keep(batch: DataFrame, epoch_id: int) -> None:
@@ -108,7 +137,7 @@ def start_kingdom_exact(
 
     names = name_counts(_core(messages, topics))
     return start_query(
-        names, name, checkpoint, foreach_batch=fold_and_keep, every=every, settings=LARGE_STATE
+        names, name, checkpoint, foreach_batch=fold_and_keep, every=every, settings=settings
     )
 
 

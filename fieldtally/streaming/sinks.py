@@ -17,11 +17,13 @@ BatchWriter = Callable[[DataFrame, int], None]
 # file for each of the session's shuffle partitions.
 SMALL_STATE = {"spark.sql.shuffle.partitions": "4"}
 
-# For state that grows with the data: kept on the executors' disks instead of their heap.
+# For state that grows with the data: kept on the executors' disks instead of their heap, and a
+# trigger uploads its changes only.
 LARGE_STATE = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -33,6 +35,12 @@ def encode_messages(records: DataFrame, topic: str) -> DataFrame:
     )
 
 
+def record_messages(records: DataFrame) -> DataFrame:
+    """Messages of records that are JSON text already, such as unnested pages."""
+    value = F.coalesce("value", F.lit("null")).alias("value")
+    return records.select(F.uuid().alias("key"), value, "topic")
+
+
 def publish(
     messages: DataFrame, fmt: str = BROKER, options: Mapping[str, str] | None = None
 ) -> None:

@@ -11,7 +11,7 @@ from fieldtally.sources.messages import decode_value
 from workload import mirror
 
 SF_DIR = "/root/testdata/sf0.001"
-STREAMS = {"add_source", "concurrent_queries", "live_counts", "stream_snapshots"}
+STREAMS = {"add_source", "concurrent_queries", "live_counts"}
 
 
 def plan(df):

@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 from fieldtally.operators import aggregates, registry, results
 from fieldtally.operators.records import core_records, parse_json
 from fieldtally.plans import jobs
-from fieldtally.sources.messages import decode_value, message_stream, read_result_log
+from fieldtally.sources.messages import (
+    decode_value,
+    file_stream,
+    message_stream,
+    read_result_log,
+)
 from fieldtally.streaming import sinks
 from workload import mirror
 
@@ -21,6 +26,10 @@ def rows(df):
     return sorted((tuple(row) for row in df.collect()), key=str)
 
 
+def rows_sorted(expected):
+    return sorted(expected, key=str)
+
+
 @pytest.fixture(scope="module")
 def sent(spark):
     """All messages, the malformed ones among them."""
@@ -215,6 +224,28 @@ def test_records_are_published_as_a_stream(spark, sent, stream, tmp_path):
     assert rows(back) == rows(batch_core(sent))
 
 
+def test_pages_are_published_as_they_land(spark, tmp_path):
+    pages = str(tmp_path / "pages")
+    text = ['{"results":[{"kingdom":"A"},null]}', '{"results":[]}']
+    spark.createDataFrame([(page,) for page in text], "page string").write.parquet(pages)
+    sent = str(tmp_path / "sent")
+    query = jobs.start_producer(
+        file_stream(spark, pages, "page string"),
+        "gbif",
+        str(tmp_path / "c"),
+        fmt="parquet",
+        options={"path": sent},
+        every=None,
+    )
+    sinks.run_for(query)
+    published = spark.read.parquet(sent)
+    assert rows(published.select("topic", "value")) == rows_sorted(
+        [("gbif", "null"), ("gbif", '{"kingdom":"A"}')]
+    )
+    assert published.select("key").distinct().count() == 2
+    assert rows(core_records(published)) == rows_sorted([("gbif", "A", None), ("gbif", None, None)])
+
+
 def test_publish_a_batch(spark, tmp_path):
     path = str(tmp_path / "out")
     messages = sinks.encode_messages(spark.range(3), "gbif")

@@ -214,5 +214,10 @@ ORACLE_SQL = {
                CAST(sum(count) OVER (PARTITION BY topic) AS BIGINT) AS source_count, kingdom, count
         FROM ({KINGDOM_COUNTS})
     """,
+    "stream_produce": f"""
+        SELECT 'obis' AS topic, kingdom, count(*) AS count,
+               count(DISTINCT scientific_name) AS distinct_names
+        FROM ({PAGE_RECORDS}) GROUP BY kingdom
+    """,
     "add_source": f"{COUNT_BY_SOURCE} FROM ({OBSERVATIONS}) GROUP BY topic",
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fieldtally.functions import source_name
 from fieldtally.operators import aggregates, records, registry, results
 from fieldtally.plans import jobs
-from fieldtally.sources.messages import decode_value, read_result_log
+from fieldtally.sources.messages import decode_value, file_stream, read_result_log
 from fieldtally.sources.pages import page_status, unnest_pages
 from fieldtally.streaming import sinks
 from fieldtally.workspace import run_folder
@@ -359,7 +359,11 @@ def stream_category_report(spark, sf_dir):
 def stream_kingdom_exact(spark, sf_dir):
     path = run_folder(spark, "kingdom-exact")
     query = jobs.start_kingdom_exact(
-        _stream_messages(spark, sf_dir), path, run_folder(spark, "checkpoint"), every=None
+        _stream_messages(spark, sf_dir),
+        path,
+        run_folder(spark, "checkpoint"),
+        every=None,
+        state_partitions=spark.sparkContext.defaultParallelism,
     )
     sinks.run_for(query)
     return sinks.read_snapshots(spark, path)
@@ -432,6 +436,25 @@ def live_counts(spark, sf_dir):
     )
 
 
+@registered
+def stream_produce(spark, sf_dir):
+    """Landed pages become messages of their source; the messages are then counted."""
+    landed, sent = run_folder(spark, "pages"), run_folder(spark, "messages")
+    mirror.document_pages(_documents(spark, sf_dir), "obis").write.parquet(landed)
+    pages = file_stream(spark, landed, "doc_id bigint, page string")
+    query = jobs.start_producer(
+        pages,
+        "obis",
+        run_folder(spark, "checkpoint"),
+        fmt="parquet",
+        options={"path": sent},
+        name=_unique("producer"),
+        every=None,
+    )
+    sinks.run_for(query)
+    return aggregates.kingdom_exact(records.core_records(decode_value(spark.read.parquet(sent))))
+
+
 @registered
 def add_source(spark, sf_dir):
     """Every source is added by its URL, reads its own topic and publishes; then counts by source."""
