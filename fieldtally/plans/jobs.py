@@ -100,15 +100,21 @@ def snapshot_series(
 
 def start_kingdom_counts(
     messages: DataFrame,
+    path: str,
     checkpoint: str,
-    fmt: str = "memory",
     name: str = "kingdom_counts",
     topics: Sequence[str] = SOURCES,
     every: str | None = LIVE_TRIGGER,
 ) -> StreamingQuery:
-    """Kingdom counts as a running query; into memory they are a table of the query's name."""
-    counts = kingdom_counts(_core(messages, topics))
-    return start_query(counts, name, checkpoint, fmt=fmt, every=every, settings=SMALL_STATE)
+    """Kingdom counts as spelled, kept by ``epoch_id``."""
+    return start_query(
+        kingdom_counts(_core(messages, topics)),
+        name,
+        checkpoint,
+        foreach_batch=snapshot_writer(path),
+        every=every,
+        settings=SMALL_STATE,
+    )
 
 
 def start_kingdom_exact(

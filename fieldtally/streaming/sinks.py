@@ -62,6 +62,8 @@ def start_query(
     """Start a named query into a sink format or a per-batch function.
 
     ``every`` is the processing-time trigger; without it the query takes what is there and ends.
+    The ``console`` and ``memory`` sinks bring the whole result to the driver: they are for results
+    of a known size, such as one row per source.
     ``settings`` are session settings for this query alone. State settings among them hold from
     the first start on; later starts from the same checkpoint keep the first ones.
     """
@@ -107,6 +109,12 @@ def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     return snapshots.withColumn("epoch_id", F.col("epoch_id").cast("bigint"))
 
 
+def latest_snapshot(snapshots: DataFrame) -> DataFrame:
+    """Rows of the last trigger only; the others' files are not read."""
+    last = snapshots.agg(F.max("epoch_id")).scalar()
+    return snapshots.where(F.col("epoch_id") == last).drop("epoch_id")
+
+
 def result_writer(
     fmt: str = BROKER, path: str | None = None, options: Mapping[str, str] | None = None
 ) -> BatchWriter:

@@ -67,15 +67,23 @@ def batch_core(sent):
 
 
 def last_epoch(snapshots):
-    last = snapshots.agg(F.max("epoch_id")).first()[0]
-    return last, snapshots.where(F.col("epoch_id") == last).drop("epoch_id")
+    return snapshots.agg(F.max("epoch_id")).first()[0], sinks.latest_snapshot(snapshots)
 
 
 def test_stream_equals_batch_over_several_batches(spark, sent, stream, tmp_path):
-    query = jobs.start_kingdom_counts(stream, str(tmp_path / "c"), name="counts_a", every=None)
+    path = str(tmp_path / "counts")
+    query = jobs.start_kingdom_counts(stream, path, str(tmp_path / "c"), every=None)
     assert sinks.run_for(query)
     assert len(query.recentProgress) == 6
-    assert rows(spark.table("counts_a")) == rows(aggregates.kingdom_counts(batch_core(sent)))
+    last, counts = last_epoch(sinks.read_snapshots(spark, path))
+    assert last == 5
+    assert rows(counts) == rows(aggregates.kingdom_counts(batch_core(sent)))
+
+
+def test_a_table_in_memory(spark, sent, stream, tmp_path):
+    counts = aggregates.source_totals(core_records(decode_value(stream)))
+    sinks.run_for(sinks.start_query(counts, "totals", str(tmp_path / "c"), fmt="memory"))
+    assert rows(spark.table("totals")) == rows(aggregates.source_totals(batch_core(sent)))
 
 
 def test_exact_stream_equals_batch(spark, sent, stream, tmp_path):
@@ -182,14 +190,16 @@ def test_report_on_the_console(stream, tmp_path):
 
 
 def test_two_named_queries_at_once(spark, sent, landed, tmp_path):
+    path = str(tmp_path / "counts")
     first = jobs.start_kingdom_counts(
-        file_by_file(spark, landed), str(tmp_path / "a"), name="two_counts", every=None
+        file_by_file(spark, landed), path, str(tmp_path / "a"), name="two_counts", every=None
     )
     second = jobs.start_category_report(
         file_by_file(spark, landed), str(tmp_path / "b"), fmt="memory", name="two_report", every=None
     )
     assert sinks.run_for(first) and sinks.run_for(second)
-    assert spark.table("two_counts").agg(F.sum("count")).first()[0] == sent.count()
+    counts = sinks.latest_snapshot(sinks.read_snapshots(spark, path))
+    assert counts.agg(F.sum("count")).first()[0] == sent.count()
     assert spark.table("two_report").agg(F.sum("total_records")).first()[0] == sent.count()
 
 
@@ -256,7 +266,7 @@ def test_publish_a_batch(spark, tmp_path):
 
 def test_settings_of_a_query_are_put_back(spark, stream, tmp_path):
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    query = jobs.start_kingdom_counts(stream, str(tmp_path / "c"), name="counts_s", every=None)
+    query = jobs.start_kingdom_counts(stream, str(tmp_path / "s"), str(tmp_path / "c"), every=None)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before == "8"
     sinks.run_for(query)
     assert query.lastProgress["stateOperators"][0]["numShufflePartitions"] == 4

@@ -198,7 +198,7 @@ ORACLE_SQL = {
     """,
     "stream_kingdom_counts": KINGDOM_COUNTS,
     "stream_category_report": CATEGORY_REPORT,
-    "stream_kingdom_exact": f"SELECT *, CAST(0 AS BIGINT) AS epoch_id FROM ({KINGDOM_EXACT})",
+    "stream_kingdom_exact": KINGDOM_EXACT,
     "stream_snapshots": f"""
         SELECT {CATEGORY_COLUMNS}, CAST(number AS BIGINT) AS epoch_id
         FROM ({OBSERVATIONS}) CROSS JOIN range(4) AS weeks(number)

@@ -333,16 +333,21 @@ def _unique(name: str) -> str:
 
 @registered
 def stream_kingdom_counts(spark, sf_dir):
-    name = _unique("kingdom_counts")
+    path = run_folder(spark, "kingdom-counts")
     query = jobs.start_kingdom_counts(
-        _stream_messages(spark, sf_dir), run_folder(spark, "checkpoint"), name=name, every=None
+        _stream_messages(spark, sf_dir),
+        path,
+        run_folder(spark, "checkpoint"),
+        name=_unique("kingdom_counts"),
+        every=None,
     )
     sinks.run_for(query)
-    return spark.table(name)
+    return sinks.latest_snapshot(sinks.read_snapshots(spark, path))
 
 
 @registered
 def stream_category_report(spark, sf_dir):
+    """The report as a table in memory, which holds one row per source."""
     name = _unique("category_report")
     query = jobs.start_category_report(
         _stream_messages(spark, sf_dir),
@@ -362,11 +367,12 @@ def stream_kingdom_exact(spark, sf_dir):
         _stream_messages(spark, sf_dir),
         path,
         run_folder(spark, "checkpoint"),
+        name=_unique("kingdom_exact"),
         every=None,
         state_partitions=spark.sparkContext.defaultParallelism,
     )
     sinks.run_for(query)
-    return sinks.read_snapshots(spark, path)
+    return sinks.latest_snapshot(sinks.read_snapshots(spark, path))
 
 
 @registered
@@ -383,17 +389,24 @@ def stream_snapshots(spark, sf_dir):
         stream = jobs.message_stream(
             spark, mirror.TOPICS, "parquet", path=landed, schema="topic string, value binary"
         )
-        sinks.run_for(jobs.snapshot_series(stream, path, checkpoint, every=None))
+        query = jobs.snapshot_series(
+            stream, path, checkpoint, name=_unique("snapshot_series"), every=None
+        )
+        sinks.run_for(query)
     return sinks.read_snapshots(spark, path).drop("unique_species")
 
 
 @registered
 def concurrent_queries(spark, sf_dir):
     """Two named queries over the same messages at the same time; both must have seen all of them."""
-    counts, report = _unique("kingdom_counts"), _unique("category_report")
+    path, report = run_folder(spark, "kingdom-counts"), _unique("category_report")
     running = [
         jobs.start_kingdom_counts(
-            _stream_messages(spark, sf_dir), run_folder(spark, "checkpoint"), name=counts, every=None
+            _stream_messages(spark, sf_dir),
+            path,
+            run_folder(spark, "checkpoint"),
+            name=_unique("kingdom_counts"),
+            every=None,
         ),
         jobs.start_category_report(
             _stream_messages(spark, sf_dir),
@@ -405,7 +418,8 @@ def concurrent_queries(spark, sf_dir):
     ]
     for query in running:
         sinks.run_for(query)
-    by_kingdom = spark.table(counts).groupBy(F.upper("topic").alias("source")).agg(
+    counts = sinks.latest_snapshot(sinks.read_snapshots(spark, path))
+    by_kingdom = counts.groupBy(F.upper("topic").alias("source")).agg(
         F.sum("count").alias("kingdom_total")
     )
     return spark.table(report).join(by_kingdom, "source").select(
@@ -422,6 +436,7 @@ def live_counts(spark, sf_dir):
         run_folder(spark, "checkpoint"),
         fmt="parquet",
         path=path,
+        name=_unique("live_counts"),
         every=None,
     )
     sinks.run_for(query)
