@@ -38,7 +38,10 @@ def main(arguments: Sequence[str] | None = None) -> None:
 
 def report(spark, args):
     return jobs.start_category_report(
-        _messages(spark, args), args.checkpoint, topics=args.topics, every=args.every or jobs.REPORT_TRIGGER
+        _messages(spark, args),
+        args.checkpoint,
+        topics=args.topics,
+        every=args.every or jobs.REPORT_TRIGGER,
     )
 
 

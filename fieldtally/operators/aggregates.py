@@ -48,7 +48,7 @@ def name_counts(core: DataFrame) -> DataFrame:
 
 
 def fold_name_counts(names: DataFrame) -> DataFrame:
-    """Second half of the exact count: records and distinct names (missing ones apart) per kingdom."""
+    """Second half of the exact count: records and distinct names, missing ones not counted."""
     return names.groupBy("topic", "kingdom").agg(
         F.sum("count").alias("count"),
         F.count("scientificName").alias("distinct_names"),

@@ -1,4 +1,4 @@
-"""Record schemas of the known sources, as DDL text for ``from_json`` and ``DataFrameReader.schema``.
+"""Record schemas of the known sources, as DDL text for ``from_json`` and readers.
 
 Fields are looked up by exact name, so their spelling, case and type decide the result.
 """

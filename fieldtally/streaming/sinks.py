@@ -17,7 +17,7 @@ BatchWriter = Callable[[DataFrame, int], None]
 # file for each of the session's shuffle partitions.
 SMALL_STATE = {"spark.sql.shuffle.partitions": "4"}
 
-# For state that grows with the data: kept on the executors' disks instead of their heap, and a
+# For state that grows with the data: kept on the executors' disks instead of their heap, and each
 # trigger uploads its changes only.
 LARGE_STATE = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -28,7 +28,7 @@ LARGE_STATE = {
 
 
 def encode_messages(records: DataFrame, topic: str) -> DataFrame:
-    """One message per record: a random key and the record's JSON text, members without value kept."""
+    """One message per record: a random key and its JSON text, members without value kept."""
     value = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
     return records.select(
         F.uuid().alias("key"), value.alias("value"), F.lit(topic).alias("topic")

@@ -12,11 +12,11 @@ def test_from_pages_to_merged_counts(spark, tmp_path):
     (pages / "a.json").write_text(json.dumps({"results": records}) + "\n")
     folder = {name: str(tmp_path / name) for name in ("messages", "results", "c1", "c2", "c3")}
     files = ["--format", "parquet", "--messages", folder["messages"], "--every", "0 seconds"]
-    main(["produce", "gbif", "--pages", str(pages), "--checkpoint", folder["c1"], "--seconds", "8", *files])
+    source = ["gbif", "--pages", str(pages), "--checkpoint", folder["c1"], "--seconds", "8"]
+    main(["produce", *source, *files])
     assert spark.read.parquet(folder["messages"]).count() == 8
-    main(
-        ["live", "gbif", "--results", folder["results"], "--checkpoint", folder["c2"], "--seconds", "8", *files]
-    )
+    target = ["gbif", "--results", folder["results"], "--checkpoint", folder["c2"], "--seconds", "8"]
+    main(["live", *target, *files])
     main(["report", "gbif", "--checkpoint", folder["c3"], "--seconds", "1", *files])
     expected = {
         "kingdom": {"kingdom": "Animalia", "count": 8},

@@ -98,10 +98,8 @@ def test_snapshots_add_up(spark, sent, stream, tmp_path):
     path = str(tmp_path / "series")
     sinks.run_for(jobs.snapshot_series(stream, path, str(tmp_path / "c"), every=None))
     snapshots = sinks.read_snapshots(spark, path)
-    totals = [
-        row[0]
-        for row in snapshots.groupBy("epoch_id").agg(F.sum("total_records")).orderBy("epoch_id").select("sum(total_records)").collect()
-    ]
+    sums = snapshots.groupBy("epoch_id").agg(F.sum("total_records").alias("records"))
+    totals = [row["records"] for row in sums.orderBy("epoch_id").collect()]
     assert len(totals) == 6 and totals == sorted(set(totals)) and totals[-1] == sent.count()
     assert rows(last_epoch(snapshots)[1]) == rows(jobs.category_report(sent))
 

@@ -167,7 +167,7 @@ def document_pages(documents: DataFrame, source: str) -> DataFrame:
             records.alias("results"),
         )
     elif source == "idigbio":
-        items = F.transform(records, lambda r: F.struct(F.lit("records").alias("type"), r.alias("data")))
+        items = F.transform(records, lambda record: F.struct(record.alias("data")))
         envelope = F.struct(size.alias("itemCount"), items.alias("items"))
     else:
         envelope = F.struct(size.alias("total"), records.alias("results"))
@@ -193,7 +193,8 @@ def daily_results(events: DataFrame) -> DataFrame:
 
 def broken_results(events: DataFrame) -> DataFrame:
     """``daily_results`` where the third source's documents from the 20th of a month are cut."""
-    cut = (F.col("topic") == "obis_query") & (F.dayofmonth(F.date_from_unix_date(F.col("offset").cast("int"))) == 20)
+    day = F.date_from_unix_date(F.col("offset").cast("int"))
+    cut = (F.col("topic") == "obis_query") & (F.dayofmonth(day) == 20)
     value = F.when(cut, F.expr("substring(value, 1, length(value) - 1)")).otherwise(F.col("value"))
     return daily_results(events).withColumn("value", value)
 
@@ -201,7 +202,8 @@ def broken_results(events: DataFrame) -> DataFrame:
 def event_registry(events: DataFrame, idle: str | None = None) -> DataFrame:
     """Registry of the topics in the events, one job per signup; ``idle`` has no job."""
     job = (F.col("event_type") == "signup") & (F.col("topic") != F.lit(idle or ""))
-    counted = observations(events).groupBy("topic").agg(F.count_if(job).cast("int").alias("job_count"))
+    jobs = F.count_if(job).cast("int").alias("job_count")
+    counted = observations(events).groupBy("topic").agg(jobs)
     return counted.select(
         F.col("topic").alias("name"),
         F.concat(F.lit("https://"), F.col("topic"), F.lit(".org")).alias("url"),

@@ -251,12 +251,23 @@ def document_counts(spark, sf_dir):
 # Result log
 
 
+def _readable(spark: SparkSession, log: DataFrame) -> DataFrame:
+    """The readable part of a log that is published first and then read back.
+
+    Reading it takes two passes, which should not each derive the log from the events again.
+    """
+    path = run_folder(spark, "results")
+    sinks.publish(log, "parquet", {"path": path})
+    published = read_result_log(spark, mirror.TOPICS, "parquet", path=path)
+    return results.readable(published, RESULT_TOPICS)
+
+
 @registered
 def read_results(spark, sf_dir):
     """Each document of a log in which one source's messages become unreadable."""
-    log = mirror.broken_results(_events(spark, sf_dir))
+    log = _readable(spark, mirror.broken_results(_events(spark, sf_dir)))
     document = F.col("document")
-    return results.open_documents(results.readable(log, RESULT_TOPICS)).select(
+    return results.open_documents(log).select(
         "topic",
         "offset",
         F.array_size(document["kingdom"]).alias("kingdoms"),
@@ -268,8 +279,8 @@ def read_results(spark, sf_dir):
 
 @registered
 def latest_results(spark, sf_dir):
-    log = mirror.broken_results(_events(spark, sf_dir))
-    last = results.open_documents(results.latest(results.readable(log, RESULT_TOPICS)))
+    log = _readable(spark, mirror.broken_results(_events(spark, sf_dir)))
+    last = results.open_documents(results.latest(log))
     return last.select("topic", "offset", F.explode("document.kingdom").alias("entry")).select(
         "topic", "offset", "entry.kingdom", "entry.count"
     )
@@ -277,7 +288,7 @@ def latest_results(spark, sf_dir):
 
 def _count_by(spark: SparkSession, sf_dir: str, by: str, idle: str | None = None) -> DataFrame:
     events = _events(spark, sf_dir)
-    log = results.readable(mirror.daily_results(events), RESULT_TOPICS)
+    log = _readable(spark, mirror.daily_results(events))
     return results.count_by(log, by, mirror.event_registry(events, idle))
 
 
