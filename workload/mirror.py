@@ -26,10 +26,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# A micro-batch takes at most this many bytes of a table, so that a failure repeats no more.
+BATCH_BYTES = 10**12
+
+
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # A plain path would have to be a folder; as a pattern it may be a single file as well.
-    schema = table(spark, sf_dir, name).schema
-    return file_stream(spark, f"{sf_dir}/{name}.parque[t]", schema)
+    path = f"{sf_dir}/{name}.parque[t]"
+    options = {"maxBytesPerTrigger": str(BATCH_BYTES)}
+    return file_stream(spark, path, table(spark, sf_dir, name).schema, options=options)
 
 
 def observations(events: DataFrame) -> DataFrame:
