@@ -57,19 +57,26 @@ def readable(
     """The given topics' messages, each topic up to its first one that is no result document.
 
     What a topic holds from that message on is left out, as a reader that stops there would not
-    see it either. The rest of the log is passed on as it is, without a shuffle.
+    see it either. The rest of the log is passed on as it is, without a shuffle. The log is read
+    twice and may have grown in between; the second pass ends where the first one did.
     """
-    checked = log.where(F.col("topic").isin(list(topics)))
+    log = log.where(F.col("topic").isin(list(topics)))
     document = F.from_json(
         "value", f"{RESULT_DOCUMENT}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT}
     )
     bad = document.isNull() | document[_CORRUPT].isNotNull()
-    first_bad = checked.where(bad).groupBy("topic").agg(F.min(_order(order_by)).alias("first_bad"))
+    position = _order(order_by)
+    checked = log.select("topic", position.alias("position"), bad.alias("bad"))
+    seen = checked.groupBy("topic").agg(
+        F.min(F.when(F.col("bad"), F.col("position"))).alias("first_bad"),
+        F.max("position").alias("last_seen"),
+    )
     # At most one row per listed topic; a longer list is left to the optimizer's own size check.
     if len(topics) <= _BROADCAST_TOPICS:
-        first_bad = F.broadcast(first_bad)
-    before = F.col("first_bad").isNull() | (_order(order_by) < F.col("first_bad"))
-    return checked.join(first_bad, "topic", "left").where(before).drop("first_bad")
+        seen = F.broadcast(seen)
+    before = F.col("first_bad").isNull() | (position < F.col("first_bad"))
+    within = before & (position <= F.col("last_seen"))
+    return log.join(seen, "topic").where(within).drop("first_bad", "last_seen")
 
 
 def open_documents(log: DataFrame) -> DataFrame:
