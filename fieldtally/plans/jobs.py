@@ -105,15 +105,19 @@ def start_kingdom_counts(
     name: str = "kingdom_counts",
     topics: Sequence[str] = SOURCES,
     every: str | None = LIVE_TRIGGER,
+    settings: Mapping[str, str] = SMALL_STATE,
 ) -> StreamingQuery:
-    """Kingdom counts as spelled, kept by ``epoch_id``."""
+    """Kingdom counts as spelled, kept by ``epoch_id``.
+
+    Sources with a great many spellings are better served with ``LARGE_STATE``.
+    """
     return start_query(
         kingdom_counts(_core(messages, topics)),
         name,
         checkpoint,
         foreach_batch=snapshot_writer(path),
         every=every,
-        settings=SMALL_STATE,
+        settings=settings,
     )
 
 
@@ -124,18 +128,14 @@ def start_kingdom_exact(
     name: str = "kingdom_exact",
     topics: Sequence[str] = SOURCES,
     every: str | None = LIVE_TRIGGER,
-    state_partitions: int | None = None,
+    settings: Mapping[str, str] = LARGE_STATE,
 ) -> StreamingQuery:
     """Exact distinct names per kingdom, kept by ``epoch_id``.
 
     State is one small row per name, spread by its hash and held outside the heap, so no kingdom's
     names have to fit in one row or task. Each trigger reads all of it; where that is too much,
-    the estimates of the other jobs have a state of fixed size. ``state_partitions`` (by default
-    the session's shuffle partitions) hold from the first start on.
+    the estimates of the other jobs have a state of fixed size.
     """
-    settings = dict(LARGE_STATE)
-    if state_partitions:
-        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
     keep = snapshot_writer(path)
 
     def fold_and_keep(batch: DataFrame, epoch_id: int) -> None:
@@ -156,6 +156,7 @@ def start_live_counts(
     name: str = "live_counts",
     topics: Sequence[str] = SOURCES,
     every: str | None = LIVE_TRIGGER,
+    settings: Mapping[str, str] = SMALL_STATE,
 ) -> StreamingQuery:
     """Publish one result document per source at every trigger.
 
@@ -167,7 +168,7 @@ def start_live_counts(
         checkpoint,
         foreach_batch=result_writer(fmt, path, options),
         every=every,
-        settings=SMALL_STATE,
+        settings=settings,
     )
 
 

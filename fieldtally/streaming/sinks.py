@@ -82,7 +82,7 @@ def start_query(
 
 
 def run_for(query: StreamingQuery, seconds: float | None = None) -> bool:
-    """Wait up to ``seconds`` (or until the query ends), then stop it. True if it ended by itself."""
+    """Wait up to ``seconds``, or until the query ends, and stop it. True if it ended by itself."""
     try:
         if seconds is None:
             query.awaitTermination()

@@ -76,8 +76,9 @@ ORACLE_SQL = {
         FROM events GROUP BY 1
     """,
     "parse_full_gbif": f"""
-        SELECT CAST(event_id AS INTEGER) AS key,
-               CAST(CASE WHEN event_type <> 'purchase' THEN user_id END AS INTEGER) AS taxon_key,
+        SELECT TRY_CAST(event_id AS INTEGER) AS key,
+               TRY_CAST(CASE WHEN event_type <> 'purchase' THEN user_id END AS INTEGER)
+                   AS taxon_key,
                CAST(NULL AS INTEGER) AS crawl_id,
                replace(props, ' ', '') AS props,
                value AS latitude,
@@ -103,7 +104,7 @@ ORACLE_SQL = {
     "parse_full_obis": f"""
         SELECT CAST(event_id AS VARCHAR) AS id,
                value AS sst,
-               CAST(user_id AS INTEGER) AS aphia_id,
+               TRY_CAST(user_id AS INTEGER) AS aphia_id,
                CAST(NULL AS INTEGER) AS depth,
                event_type = 'error' AS dropped,
                event_type AS first_node,

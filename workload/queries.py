@@ -374,13 +374,14 @@ def stream_category_report(spark, sf_dir):
 @registered
 def stream_kingdom_exact(spark, sf_dir):
     path = run_folder(spark, "kingdom-exact")
+    partitions = str(spark.sparkContext.defaultParallelism)
     query = jobs.start_kingdom_exact(
         _stream_messages(spark, sf_dir),
         path,
         run_folder(spark, "checkpoint"),
         name=_unique("kingdom_exact"),
         every=None,
-        state_partitions=spark.sparkContext.defaultParallelism,
+        settings={**sinks.LARGE_STATE, "spark.sql.shuffle.partitions": partitions},
     )
     sinks.run_for(query)
     return sinks.latest_snapshot(sinks.read_snapshots(spark, path))
@@ -409,7 +410,7 @@ def stream_snapshots(spark, sf_dir):
 
 @registered
 def concurrent_queries(spark, sf_dir):
-    """Two named queries over the same messages at the same time; both must have seen all of them."""
+    """Two named queries over the same messages at once; both must have seen all of them."""
     path, report = run_folder(spark, "kingdom-counts"), _unique("category_report")
     running = [
         jobs.start_kingdom_counts(
@@ -483,7 +484,7 @@ def stream_produce(spark, sf_dir):
 
 @registered
 def add_source(spark, sf_dir):
-    """Every source is added by its URL, reads its own topic and publishes; then counts by source."""
+    """Every source is added by its URL, reads its own topic and publishes; then they are merged."""
     landed, path = run_folder(spark, "landed"), run_folder(spark, "results")
     sent = mirror.messages(_events(spark, sf_dir)).select("topic", "value")
     sent.write.partitionBy("topic").parquet(landed)
