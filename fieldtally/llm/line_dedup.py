@@ -8,8 +8,9 @@ runs and its rows among the repeats.
 
 Defined cases: a null or empty text is one empty line; short lines always stay; a line may repeat
 within a document, which counts once; rows of one doc_id count as documents of their own, and all of
-the largest doc_id keep their lines; an empty table gives no rows; columns beside ``doc_id`` and
-``text`` go through.
+the largest doc_id keep their lines; a null doc_id's lines
+are not counted and stay; an empty table gives no rows; columns beside ``doc_id`` and
+``text`` go through, but for ``n_lines`` and ``n_dropped``, which are replaced.
 """
 
 from __future__ import annotations

@@ -5,7 +5,7 @@ count is the Poisson quantile of a number that a hash of its id and a seed gives
 wherever and however often it is computed. Documents are repeated by their count and put in the
 order of a second hash, which spreads copies over the whole output.
 
-Defined cases: a null source is a source of its own, named ``null_source``; weights of absent
+Defined cases: null sources and empty ones are one source; weights of absent
 sources are left out of the shares and absent weights count as zero; a null doc_id hashes as the
 empty text; rows of one doc_id have the same count; an empty table gives no rows; a text column may
 be null or of any length; other columns go through unless named ``copy`` or ``shuffle_key``, which
@@ -47,9 +47,8 @@ def quantiles(rate: Column) -> Column:
 
 def rates(docs: DataFrame, weights: dict[str, float] | None, power: float, epochs: float) -> DataFrame:
     """``source_key, rate, sums``: mean repetitions of each source and their Poisson quantiles."""
-    counts = docs.groupBy(F.coalesce("source", F.lit(NULL_SOURCE)).alias("source_key")).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
+    source_key = F.coalesce("source", F.lit(NULL_SOURCE)).alias("source_key")
+    counts = written(docs.groupBy(source_key).agg(F.count(F.lit(1)).alias("rows")), "sources")
     if weights is None:
         weighted = counts.withColumn("weight", F.pow(F.col("rows").cast("double"), F.lit(power)))
     else:
@@ -83,19 +82,22 @@ def mix(
     source; it is written first, so that Spark sees its size and sends it to the executors only if it
     is small.
     """
-    docs = docs.drop("copy", "shuffle_key")
+    names = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
     table = written(rates(docs, weights, power, epochs), "rates")
-    ident = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    uniform = hashed(seed, ident) / F.lit(float(1 << 52))
+    # The row travels as one value, so none of its columns can meet a name used here.
+    rows = docs.select(
+        F.struct(*names).alias("row"),
+        F.coalesce("source", F.lit(NULL_SOURCE)).alias("source_key"),
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("ident"),
+    )
+    uniform = hashed(seed, F.col("ident")) / F.lit(float(1 << 52))
     repeated = (
-        docs.withColumn("_key", F.coalesce("source", F.lit(NULL_SOURCE)))
-        .join(table, F.col("_key") == F.col("source_key"))
-        .withColumn("_u", uniform)
-        .withColumn("_count", F.size(F.filter("sums", lambda c: c <= F.col("_u"))))
-        .filter(F.col("_count") > 0)
-        .drop("_key", "source_key", "rate", "sums", "_u")
-        .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_count") - 1)))
-        .drop("_count")
+        rows.join(table, "source_key")
+        .withColumn("u", uniform)
+        .withColumn("copies", F.size(F.filter("sums", lambda c: c <= F.col("u"))))
+        .filter(F.col("copies") > 0)
+        .select("row", "ident", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
+        .withColumn("shuffle_key", hashed(seed, "order", F.col("ident"), F.col("copy")))
+        .orderBy("shuffle_key", "ident", "copy")
     )
-    key = hashed(seed, "order", ident, F.col("copy"))
-    return repeated.withColumn("shuffle_key", key).orderBy("shuffle_key", "doc_id", "copy")
+    return repeated.select("row.*", "copy", "shuffle_key")

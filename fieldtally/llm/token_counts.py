@@ -9,7 +9,7 @@ it: inside stretches of ``STRETCH`` blocks first, then over the stretches.
 
 Defined cases: an empty document counts zero tokens beside its separator; what follows the last
 separator of a file is an unclosed document if it is not empty; empty files and tables give no rows;
-a null text has no tokens.
+a null text has no tokens; rows of a null doc_id are left out, as counts go by id.
 """
 
 from __future__ import annotations

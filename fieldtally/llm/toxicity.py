@@ -7,8 +7,8 @@ sum. All overlapping windows of the whole text are scored and the highest counts
 
 Training rows are a bounded sample, ``SAMPLE_POSITIVE`` and ``SAMPLE_NEGATIVE`` labelled documents
 by the hash of their ids, of each at most ``SAMPLE_WINDOWS`` windows. Labels belong to documents; after
-a start with all windows, each document teaches by its highest one, and label 1 documents that the
-network then doubts teach no more. A fifth of the sample chooses the round that is kept.
+a start with all windows, each document teaches by its highest one. A fifth of the sample chooses the
+round that is kept.
 
 Defined cases: null and empty texts are scored as an empty window; without labels of both kinds the score is the
 share of label 1 (or 0); a document labelled twice has the higher label; repeated rows get the same score;
@@ -31,9 +31,10 @@ SAMPLE_POSITIVE, SAMPLE_NEGATIVE, SAMPLE_WINDOWS = 1500, 3000, 24
 VOCABULARY, VOCABULARY_DOCS, TRIGRAMS = 5000, 20, 4096
 WINDOW, STRIDE = 40, 32
 WORD, CHAR, HIDDEN = 8, 8, 8
-RATE = 0.006
-#: Share of the label 1 documents that are left out once the network puts them under one half.
-DOUBTED = 0.5
+RATE = 0.015
+#: Share of the words that training shows as unknown, so that spelling is learned as well.
+HIDE = 0.5
+DECAY = 1e-4
 WORDS = re.compile(r"\w+")
 #: Words that a worker remembers before it starts over.
 REMEMBERED = 300_000
@@ -94,9 +95,11 @@ class Network:
                 f"b{side}": np.zeros(3 * HIDDEN, np.float32),
             }
 
-    def features(self, words: list[str]) -> tuple[np.ndarray, dict]:
-        """Input vectors of words; what the gradient needs."""
+    def features(self, words: list[str], hidden: np.ndarray | None = None) -> tuple[np.ndarray, dict]:
+        """Input vectors of words, those ``hidden`` as unknown; what the gradient needs."""
         ids = np.fromiter((self.vocabulary.get(w, 0) for w in words), np.int64, len(words))
+        if hidden is not None:
+            ids[hidden] = 0
         grams, starts = trigram_places(words)
         counts = np.diff(np.append(starts, len(grams))).astype(np.float32)[:, None]
         char = np.add.reduceat(self.w["char"][grams], starts, axis=0) / counts
@@ -181,9 +184,11 @@ class Network:
         empty = shut(1)
         return {s: np.concatenate((features @ self.w[f"x{s}"] + self.w[f"b{s}"], empty)) for s in "fb"}
 
-    def gradient(self, words: list[str], index: np.ndarray, labels: np.ndarray) -> tuple[float, dict]:
+    def gradient(
+        self, words: list[str], index: np.ndarray, labels: np.ndarray, hidden: np.ndarray | None = None
+    ) -> tuple[float, dict]:
         """Mean logistic loss of the windows and its gradient by weight."""
-        features, seen = self.features(words)
+        features, seen = self.features(words, hidden)
         logits, (both, weight, pooled, trace) = self.run(self.project(features), index, keep=True)
         n = len(labels)
         p = sigmoid(logits)
@@ -223,7 +228,7 @@ class Network:
         return loss, g
 
 
-def fit(windows: list[list[list[str]]], labels: np.ndarray, rounds: int = 9, batch: int = 128) -> Network:
+def fit(windows: list[list[list[str]]], labels: np.ndarray, rounds: int = 12, batch: int = 128) -> Network:
     """A network from documents' windows of words and their labels."""
     seen: dict[str, int] = {}
     for doc in windows:
@@ -241,7 +246,7 @@ def fit(windows: list[list[list[str]]], labels: np.ndarray, rounds: int = 9, bat
     rng = np.random.default_rng(44)
     first, second = ({k: np.zeros_like(v) for k, v in net.w.items()} for _ in range(2))
     checked = np.arange(len(labels)) % 5 == 4
-    best, kept, turn = np.inf, net.w, 0
+    best, kept, since, turn = np.inf, net.w, 0, 0
     for epoch in range(rounds):
         inputs = net.project(net.features(words)[0])
         logits = np.concatenate([net.logits(inputs, index[i : i + 1024]) for i in range(0, len(flat), 1024)])
@@ -250,8 +255,8 @@ def fit(windows: list[list[list[str]]], labels: np.ndarray, rounds: int = 9, bat
         loss = (np.logaddexp(0, highest) - labels * highest)[checked].mean()
         if epoch > 2:
             if loss < best:
-                best, kept = loss, {k: v.copy() for k, v in net.w.items()}
-            elif loss > 1.1 * best:
+                best, kept, since = loss, {k: v.copy() for k, v in net.w.items()}, 0
+            elif (since := since + 1) > 2:
                 break
         if epoch < 2:
             chosen = rng.permutation(len(flat))
@@ -259,9 +264,7 @@ def fit(windows: list[list[list[str]]], labels: np.ndarray, rounds: int = 9, bat
         else:
             order = np.lexsort((logits, owner))
             top = order[np.append(owner[order][1:] != owner[order][:-1], True)]
-            doubted = (labels == 1) & (highest < np.quantile(highest[labels == 1], DOUBTED)) & (highest < 0)
-            taught = ~checked & ~(doubted & (epoch > 2))
-            chosen = rng.permutation(top[taught[owner[top]]])
+            chosen = rng.permutation(top[~checked[owner[top]]])
         for at in range(0, len(chosen), batch):
             some = chosen[at : at + batch]
             used, local = np.unique(index[some], return_inverse=True)
@@ -269,13 +272,15 @@ def fit(windows: list[list[list[str]]], labels: np.ndarray, rounds: int = 9, bat
             if used[0] == -1:
                 used, local = used[1:], local - 1
             own = [words[i] for i in used] or [""]
-            _, g = net.gradient(own, local, labels[owner[some]].astype(np.float32))
+            _, g = net.gradient(
+                own, local, labels[owner[some]].astype(np.float32), rng.random(len(own)) < HIDE
+            )
             turn += 1
             for k, value in g.items():
                 first[k] += 0.1 * (value - first[k])
                 second[k] += 0.005 * (value * value - second[k])
                 step = first[k] / (1 - 0.9**turn) / (np.sqrt(second[k] / (1 - 0.995**turn)) + 1e-7)
-                net.w[k] -= (RATE * step + 1e-4 * net.w[k]).astype(np.float32)
+                net.w[k] -= (RATE * step + DECAY * net.w[k]).astype(np.float32)
     net.w = kept
     return net
 
