@@ -90,11 +90,10 @@ def buckets(vectors: np.ndarray) -> np.ndarray:
     return out
 
 
-def _links(block: pd.DataFrame, threshold: float) -> pd.DataFrame | None:
-    """Weights of links and a spanning forest of the pairs whose first meeting is this block."""
+def _near(block: pd.DataFrame, threshold: float) -> tuple[np.ndarray, ...] | None:
+    """Pairs of a block over the threshold, one of them at home: their vectors, weights and places."""
     left, right = block["left_part"].iat[0], block["right_part"].iat[0]
     part, home = block["part"].to_numpy(), block["home"].to_numpy()
-    table, number = int(block["table"].iat[0]), int(block["number"].iat[0])
     rows, columns = np.flatnonzero(part == left), np.flatnonzero(part == right)
     vectors = unit(np.stack(block["vector"].to_numpy()).astype(np.float64))
     near = vectors[rows] @ vectors[columns].T >= threshold
@@ -106,37 +105,35 @@ def _links(block: pd.DataFrame, threshold: float) -> pd.DataFrame | None:
     if not len(i):
         return None
     used, local = np.unique(np.concatenate((i, j)), return_inverse=True)
-    own = buckets(vectors[used])
-    a, b = local[: len(i)], local[len(i) :]
-    forest = Forest(len(used))
-    weights, links = block["copies"].to_numpy()[used], np.zeros(len(used), np.int64)
+    return (
+        vectors[used], block["rep"].to_numpy()[used], block["copies"].to_numpy()[used],
+        local[: len(i)], local[len(i) :], int(block["table"].iat[0]), int(block["number"].iat[0]),
+    )
+
+
+def _links(found: tuple[np.ndarray, ...], own: np.ndarray) -> pd.DataFrame:
+    """Weights of links and a spanning forest of the pairs whose first meeting is their block."""
+    _, rep, weights, a, b, table, number = found
+    forest, links = Forest(len(rep)), np.zeros(len(rep), np.int64)
+    far = np.iinfo(np.int64).max
     for at in range(0, len(a), 1 << 18):
         p, q = a[at : at + (1 << 18)], b[at : at + (1 << 18)]
         earlier = np.zeros(len(p), bool)
         for t in range(table + 1):
             # The buckets of table t where the pair meets: of one's home, the other's any.
-            meets = own[q, t] == own[p, t, :1], own[p, t] == own[q, t, :1]
+            at_p = (own[q, t] == own[p, t, :1]).any(axis=1)
+            at_q = (own[p, t] == own[q, t, :1]).any(axis=1)
             if t < table:
-                earlier |= meets[0].any(axis=1) | meets[1].any(axis=1)
+                earlier |= at_p | at_q
             else:
-                far = np.iinfo(np.int64).max
-                least = np.minimum(
-                    np.where(meets[0].any(axis=1), own[p, t, 0], far), np.where(meets[1].any(axis=1), own[q, t, 0], far)
-                )
-                earlier |= least != number
+                earlier |= np.minimum(np.where(at_p, own[p, t, 0], far), np.where(at_q, own[q, t, 0], far)) != number
         p, q = p[~earlier], q[~earlier]
         np.add.at(links, p, weights[q])
         np.add.at(links, q, weights[p])
-        pairs = np.stack((p, q), axis=1)
-        if len(p) > 4 * len(used):  # a dense block: whole stars at once
-            order = np.argsort(p, kind="stable")
-            pairs = pairs[order]
-        for x, y in pairs.tolist():
+        for x, y in zip(p.tolist(), q.tolist()):
             forest.join(x, y)
-    roots = forest.roots()
-    found = np.flatnonzero(links)
-    rep = block["rep"].to_numpy()[used]
-    return pd.DataFrame({"u": rep[found], "v": rep[roots[found]], "links": links[found]})
+    roots, linked = forest.roots(), np.flatnonzero(links)
+    return pd.DataFrame({"u": rep[linked], "v": rep[roots[linked]], "links": links[linked]})
 
 
 def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -173,14 +170,28 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     ).withColumn("bucket", F.xxhash64("label", F.size("vector"), "table", "number"))
 
     def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[tuple] = []
+
+        def out() -> Iterator[pd.DataFrame]:
+            # Buckets of many blocks' vectors at once, by the vectors' length.
+            for length in {f[0].shape[1] for f in held}:
+                some = [f for f in held if f[0].shape[1] == length]
+                numbers = buckets(np.concatenate([f[0] for f in some]))
+                ends = np.cumsum([len(f[0]) for f in some])[:-1]
+                parts = [_links(f, own) for f, own in zip(some, np.split(numbers, ends))]
+                yield pd.concat(parts, ignore_index=True)
+            held.clear()
+
         for block in blocks(batches):
             lengths = block["vector"].map(len)
             keys = [block["label"], lengths, block["table"], block["number"]]
-            same = all((k == k.iat[0]).all() for k in keys)
+            same = all((k.to_numpy() == k.iat[0]).all() for k in keys)
             for group in [block] if same else [g for _, g in block.groupby(keys)]:
-                found = _links(group, threshold) if len(group) > 1 else None
-                if found is not None:
-                    yield found
+                if len(group) > 1 and (found := _near(group, threshold)) is not None:
+                    held.append(found)
+            if sum(len(f[0]) for f in held) > 4096:
+                yield from out()
+        yield from out()
 
     pairs = written(
         dealt(members, members.select("bucket"), "rep").mapInPandas(linked, "u long, v long, links long"), "links"

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE_POSITIVE, SAMPLE_NEGATIVE, SAMPLE_WINDOWS = 1500, 3000, 24
+SAMPLE_POSITIVE, SAMPLE_NEGATIVE, SAMPLE_WINDOWS = 1500, 3000, 12
 #: A word of the vocabulary is in at least ``VOCABULARY_DOCS`` documents of the sample.
 VOCABULARY, VOCABULARY_DOCS, TRIGRAMS = 5000, 20, 4096
 WINDOW, STRIDE = 40, 32
@@ -184,6 +184,15 @@ class Network:
         empty = shut(1)
         return {s: np.concatenate((features @ self.w[f"x{s}"] + self.w[f"b{s}"], empty)) for s in "fb"}
 
+    def all_inputs(self, words: list[str], at_once: int = 20_000) -> dict[str, np.ndarray]:
+        """The projected vectors of many words, in slices."""
+        out = {s: shut(len(words) + 1) for s in "fb"}
+        for at in range(0, len(words), at_once):
+            features, _ = self.features(words[at : at + at_once])
+            for side in "fb":
+                out[side][at : at + len(features)] = features @ self.w[f"x{side}"] + self.w[f"b{side}"]
+        return out
+
     def gradient(
         self, words: list[str], index: np.ndarray, labels: np.ndarray, hidden: np.ndarray | None = None
     ) -> tuple[float, dict]:
@@ -228,11 +237,11 @@ class Network:
         return loss, g
 
 
-def fit(windows: list[list[list[str]]], labels: np.ndarray, rounds: int = 12, batch: int = 128) -> Network:
-    """A network from documents' windows of words and their labels."""
+def fit(windows: list[list[str]], labels: np.ndarray, rounds: int = 12, batch: int = 128) -> Network:
+    """A network from documents' windows (words with a space between) and their labels."""
     seen: dict[str, int] = {}
     for doc in windows:
-        for w in {w for window in doc for w in window}:
+        for w in {w for window in doc for w in window.split(" ") if w}:
             seen[w] = seen.get(w, 0) + 1
     vocabulary = sorted((w for w, n in seen.items() if n >= VOCABULARY_DOCS), key=lambda w: (-seen[w], w))[:VOCABULARY]
     net = Network(vocabulary)
@@ -241,14 +250,15 @@ def fit(windows: list[list[list[str]]], labels: np.ndarray, rounds: int = 12, ba
     owner = np.array([d for d, _ in flat])
     index = np.full((len(flat), WINDOW), -1, np.int64)
     for i, (_, window) in enumerate(flat):
-        index[i, : len(window)] = [places.setdefault(w, len(places)) for w in window]
+        own = [places.setdefault(w, len(places)) for w in window.split(" ") if w]
+        index[i, : len(own)] = own
     words = list(places)
     rng = np.random.default_rng(44)
     first, second = ({k: np.zeros_like(v) for k, v in net.w.items()} for _ in range(2))
     checked = np.arange(len(labels)) % 5 == 4
     best, kept, since, turn = np.inf, net.w, 0, 0
     for epoch in range(rounds):
-        inputs = net.project(net.features(words)[0])
+        inputs = net.all_inputs(words)
         logits = np.concatenate([net.logits(inputs, index[i : i + 1024]) for i in range(0, len(flat), 1024)])
         highest = np.full(len(labels), -np.inf)
         np.maximum.at(highest, owner, logits)
@@ -285,8 +295,8 @@ def fit(windows: list[list[list[str]]], labels: np.ndarray, rounds: int = 12, ba
     return net
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple[list, np.ndarray]:
-    """Windows of words and labels of the bounded sample of labelled documents."""
+def sample(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple[list[list[str]], np.ndarray]:
+    """Windows and labels of the bounded sample of labelled documents."""
     rated = (
         labels.select("doc_id", F.col(label).cast("int").alias("rated"))
         .filter(F.col("doc_id").isNotNull() & F.col("rated").isin(0, 1))
@@ -308,20 +318,17 @@ def sample(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple[li
                 starts = windows_of(len(words))
                 rng = np.random.default_rng(zlib.crc32(str(doc_id).encode()))
                 for at in rng.permutation(starts)[:SAMPLE_WINDOWS].tolist():
-                    rows.append((doc_id, words[at : at + WINDOW]))
+                    rows.append((doc_id, " ".join(words[at : at + WINDOW])))
             yield pd.DataFrame(rows, columns=["doc_id", "words"])
 
     # At most SAMPLE_POSITIVE + SAMPLE_NEGATIVE ids, so the broadcast is bounded.
     rows = (
         docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
-        .mapInPandas(cut, "doc_id long, words array<string>").collect()
+        .mapInPandas(cut, "doc_id long, words string").toPandas()
     )
-    by_doc: dict[int, list] = {}
-    for row in rows:
-        by_doc.setdefault(row["doc_id"], []).append(list(row["words"]))
+    by_doc = {doc_id: sorted(own)[:SAMPLE_WINDOWS] for doc_id, own in rows.groupby("doc_id")["words"]}
     ordered = sorted(by_doc)
-    windows = [sorted(by_doc[d])[:SAMPLE_WINDOWS] for d in ordered]
-    return windows, np.array([known[d] for d in ordered], np.int64)
+    return [by_doc[d] for d in ordered], np.array([known[d] for d in ordered], np.int64)
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Network | float:
