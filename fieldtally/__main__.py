@@ -59,7 +59,8 @@ def live(spark, args):
 
 def produce(spark, args):
     target = broker_options(args.servers) if args.format == BROKER else {"path": args.messages}
-    pages = file_stream(spark, args.pages, "page string", "text")
+    whole = {"wholetext": "true"} if args.whole_files else None
+    pages = file_stream(spark, args.pages, "page string", "text", whole)
     return jobs.start_producer(
         pages,
         args.source,
@@ -67,6 +68,7 @@ def produce(spark, args):
         fmt=args.format,
         options=target,
         every=args.every or jobs.LIVE_TRIGGER,
+        mode=args.mode,
     )
 
 
@@ -100,12 +102,16 @@ def parser() -> argparse.ArgumentParser:
     for name, seconds in (("report", jobs.REPORT_SECONDS), ("live", None)):
         streaming = job.add_parser(name, parents=[shared, running])
         streaming.add_argument("topics", nargs="+", choices=SOURCES)
-        streaming.add_argument("--start", default="latest", help="first offsets to read")
+        streaming.add_argument("--start", help="first offsets to read from the broker, latest if not given")
         streaming.add_argument("--seconds", type=float, default=seconds)
     producing = job.add_parser("produce", parents=[shared, running])
     producing.add_argument("source", choices=SOURCES)
     producing.add_argument("--pages", required=True, help="folder of landed pages")
     producing.add_argument("--seconds", type=float)
+    producing.add_argument("--whole-files", action="store_true", help="a page is a file, not a line")
+    producing.add_argument(
+        "--mode", default="FAILFAST", choices=("FAILFAST", "PERMISSIVE"), help="what a page that cannot be read does"
+    )
     counting = job.add_parser("count", parents=[shared])
     counting.add_argument("by", choices=results.COUNT_KINDS)
     counting.add_argument("--sources", nargs="+", default=list(SOURCES), choices=SOURCES)

@@ -18,9 +18,8 @@ from fieldtally.schemas import RESULT_DOCUMENT
 RESULT_SUFFIX = "_query"
 COUNT_KINDS = ("kingdom", "species", "source")
 
-# One row of (topic, order columns) each; far below what an executor can hold.
-_BROADCAST_TOPICS = 10_000
 _CORRUPT = "_corrupt_record"
+_STRICT = {"allowSingleQuotes": "false"}
 
 
 def result_topic(name: Column) -> Column:
@@ -56,24 +55,31 @@ def readable(
 ) -> DataFrame:
     """The given topics' messages, each topic up to its first one that is no result document.
 
+    A document is one strict JSON object, alone in its message, with all four members; a number that
+    is no whole one, such as ``1.0`` for ``species``, counts as missing.
     What a topic holds from that message on is left out, as a reader that stops there would not
     see it either. The rest of the log is passed on as it is, without a shuffle. The log is read
     twice and may have grown in between; the second pass ends where the first one did.
     """
     log = log.where(F.col("topic").isin(list(topics)))
     document = F.from_json(
-        "value", f"{RESULT_DOCUMENT}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT}
+        "value",
+        f"{RESULT_DOCUMENT}, {_CORRUPT} string",
+        {"columnNameOfCorruptRecord": _CORRUPT, **_STRICT},
     )
-    bad = document.isNull() | document[_CORRUPT].isNotNull()
+    # As the only element of a list, a value must be one JSON text and nothing after it.
+    alone = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), "array<string>", _STRICT)
+    bad = document.isNull() | document[_CORRUPT].isNotNull() | ~F.equal_null(F.size(alone), F.lit(1))
+    for member in ("kingdom", "species", "source_count", "source_name"):
+        bad = bad | document[member].isNull()
     position = _order(order_by)
     checked = log.select("topic", position.alias("position"), bad.alias("bad"))
     seen = checked.groupBy("topic").agg(
         F.min(F.when(F.col("bad"), F.col("position"))).alias("first_bad"),
         F.max("position").alias("last_seen"),
     )
-    # At most one row per listed topic; a longer list is left to the optimizer's own size check.
-    if len(topics) <= _BROADCAST_TOPICS:
-        seen = F.broadcast(seen)
+    # At most one row per topic of the list, which the plan holds as literals anyway.
+    seen = F.broadcast(seen)
     before = F.col("first_bad").isNull() | (position < F.col("first_bad"))
     within = before & (position <= F.col("last_seen"))
     return log.join(seen, "topic").where(within).drop("first_bad", "last_seen")

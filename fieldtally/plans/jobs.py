@@ -39,9 +39,15 @@ class StartedSource(NamedTuple):
     registry: DataFrame
 
 
-def page_messages(pages: DataFrame, source: str, column: str = "page") -> DataFrame:
-    """Landed pages as messages to the source's topic, one per record; batch or stream."""
-    return record_messages(unnest_pages(pages, source, column))
+def page_messages(
+    pages: DataFrame, source: str, column: str = "page", mode: str = "FAILFAST"
+) -> DataFrame:
+    """Landed pages as messages to the source's topic, one per record; batch or stream.
+
+    A page that cannot be read fails the job. With ``mode="PERMISSIVE"`` it is passed over, and
+    ``rejected_pages`` of the same pages shows it.
+    """
+    return record_messages(unnest_pages(pages, source, column, mode))
 
 
 def start_producer(
@@ -53,9 +59,10 @@ def start_producer(
     name: str = "producer",
     column: str = "page",
     every: str | None = LIVE_TRIGGER,
+    mode: str = "FAILFAST",
 ) -> StreamingQuery:
-    """Publish the records of a source's pages as they land."""
-    messages = page_messages(pages, source, column)
+    """Publish the records of a source's pages as they land; see ``page_messages`` for ``mode``."""
+    messages = page_messages(pages, source, column, mode)
     return start_query(
         messages, name, checkpoint, fmt=fmt, mode="append", every=every, options=options
     )

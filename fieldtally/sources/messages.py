@@ -33,12 +33,13 @@ def message_stream(
     fmt: str = BROKER,
     servers: Sequence[str] = (),
     path: str | None = None,
-    starting_offsets: str = "latest",
+    starting_offsets: str | None = None,
     schema: str = MESSAGE,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Unbounded frame of the topics' messages, from the broker or from files under ``path``.
 
+    The broker is read from ``starting_offsets`` on (``latest`` if not given); files from the first.
     ``options`` go to the source: ``minPartitions`` splits a topic of few partitions (or one that
     holds most of the records) over more tasks, ``maxOffsetsPerTrigger`` and ``maxFilesPerTrigger``
     bound a micro-batch.
@@ -47,8 +48,10 @@ def message_stream(
         raise ValueError("at least one topic is needed")
     options = dict(options or {})
     if fmt == BROKER:
-        scan = {**broker_options(servers, topics), "startingOffsets": starting_offsets, **options}
+        scan = {**broker_options(servers, topics), "startingOffsets": starting_offsets or "latest", **options}
         return spark.readStream.format(BROKER).options(**scan).load()
+    if starting_offsets is not None:
+        raise ValueError("files are read from the beginning; a start is for the broker only")
     stream = file_stream(spark, _need(path), schema, fmt, options)
     return stream.where(F.col("topic").isin(list(topics)))
 

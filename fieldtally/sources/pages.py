@@ -1,7 +1,7 @@
 """Landed API pages: one row per page, its JSON text in one column.
 
-Pages are split where they lie, one task per input split; the records stay raw JSON text, ready to
-be published or parsed. Raw control characters inside strings are accepted, as the services send
+Pages are split where they lie, one task per input split; the records come out as JSON text, ready to
+be published or parsed (numbers are written as a double reads them). Raw control characters inside strings are accepted, as the services send
 them. A page that cannot be read gives no records; ``mode="FAILFAST"`` fails the query instead.
 """
 
@@ -18,6 +18,9 @@ _ENVELOPES = {
     "obis": "results array<string>",
 }
 
+_OPTIONS = {"allowUnquotedControlChars": "true"}
+_CORRUPT = "_corrupt_record"
+
 # Fixed value: records asked for per page where the end shows in the page's own count.
 IDIGBIO_PAGE_SIZE = 100
 
@@ -30,6 +33,18 @@ def unnest_pages(
     return pages.select(F.lit(source).alias("topic"), F.explode(records).alias("value"))
 
 
+def rejected_pages(pages: DataFrame, source: str, column: str = "page") -> DataFrame:
+    """The rows of ``pages`` whose page cannot be read: those that give no records without being empty."""
+    check_source(source)
+    options = {**_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    opened = F.from_json(column, f"{_ENVELOPES[source]}, {_CORRUPT} string", options)
+    names = [F.col(name) for name in pages.columns]
+    marked = pages.select(*names, opened.alias("envelope"))
+    envelope = F.col("envelope")
+    broken = envelope.isNull() | envelope[_CORRUPT].isNotNull() | _records(envelope, source).isNull()
+    return marked.where(broken).select(*pages.columns)
+
+
 def page_status(
     pages: DataFrame,
     source: str,
@@ -65,7 +80,7 @@ def page_status(
 
 def _envelope(source: str, column: str, mode: str) -> Column:
     check_source(source)
-    options = {"allowUnquotedControlChars": "true", "mode": mode}
+    options = {**_OPTIONS, "mode": mode}
     return F.from_json(column, _ENVELOPES[source], options)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -142,17 +143,22 @@ def result_writer(
     return write
 
 
+# Queries may be started from several threads, and a session has one set of settings.
+_STARTING = Lock()
+
+
 @contextmanager
 def _settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
     # A query copies the session's settings when it starts, so they are put back right after.
-    before = {key: spark.conf.get(key, None) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+    with _STARTING:
+        before = {key: spark.conf.get(key, None) for key in settings}
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        try:
+            yield
+        finally:
+            for key, value in before.items():
+                if value is None:
+                    spark.conf.unset(key)
+                else:
+                    spark.conf.set(key, value)

@@ -122,3 +122,8 @@ def test_publish_to_the_broker():
         "options": {"kafka.bootstrap.servers": "a:1"},
         "saved": True,
     }
+
+
+def test_files_have_no_start(spark, tmp_path):
+    with pytest.raises(ValueError, match="beginning"):
+        message_stream(spark, ["gbif"], fmt="parquet", path=str(tmp_path), starting_offsets="latest")

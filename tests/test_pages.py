@@ -3,7 +3,7 @@ import json
 import pytest
 
 from fieldtally.operators.records import parse_records
-from fieldtally.sources.pages import page_status, unnest_pages
+from fieldtally.sources.pages import page_status, rejected_pages, unnest_pages
 
 
 def pages(spark, *texts):
@@ -74,3 +74,23 @@ def test_another_column_and_unknown_source(spark):
         unnest_pages(df, "ebird", column="body")
     with pytest.raises(ValueError):
         page_status(df, "ebird", column="body")
+
+
+@pytest.mark.parametrize("source", ["gbif", "idigbio", "obis"])
+def test_rejected_and_accepted_pages_are_all_pages(spark, source):
+    list_name = "items" if source == "idigbio" else "results"
+    record = '{"data":{"id":1}}' if source == "idigbio" else '{"id":1}'
+    good = [f'{{"{list_name}":[{record},{record}]}}', f'{{"{list_name}":[]}}']
+    bad = [good[0][:-1] + ',"endOfRecords":tru', good[0][:-2], "", "no page", "{}", None]
+    frame = pages(spark, *good, *bad)
+    assert sorted(r["n"] for r in rejected_pages(frame, source).collect()) == list(range(2, 8))
+    assert rejected_pages(frame, source).columns == frame.columns
+
+
+def test_a_producer_fails_at_an_unreadable_page_unless_told(spark):
+    from fieldtally.plans.jobs import page_messages
+
+    frame = pages(spark, '{"results":[{"id":1}]}', '{"results":[{"id":1}],"endOfRecords":tru')
+    with pytest.raises(Exception, match="MALFORMED|alformed"):
+        page_messages(frame, "gbif").collect()
+    assert page_messages(frame, "gbif", mode="PERMISSIVE").count() == 1

@@ -4,11 +4,11 @@ import re
 
 import pytest
 
-import __spark_entry__ as contract
 from fieldtally.operators import aggregates, results
 from fieldtally.operators.records import core_records
 from fieldtally.sources.messages import decode_value
 from workload import mirror
+from workload.queries import REGISTERED
 
 SF_DIR = "/root/testdata/sf0.001"
 STREAMS = {"add_source", "concurrent_queries", "live_counts"}
@@ -24,10 +24,10 @@ def core(spark):
 
 
 @pytest.mark.parametrize(
-    "name", [n for n in sorted(contract.queries()) if n not in STREAMS and "stream_" not in n]
+    "name", [n for n in sorted(REGISTERED) if n not in STREAMS and "stream_" not in n]
 )
 def test_no_python_and_no_pairs(spark, name):
-    text = plan(contract.queries()[name](spark, SF_DIR))
+    text = plan(REGISTERED[name](spark, SF_DIR))
     for operator in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoopJoin", "Range("):
         assert operator not in text
     # One row of all sources is the answer to one query only.
@@ -74,8 +74,4 @@ def test_the_log_itself_is_not_shuffled(spark):
     text = plan(results.readable(log, ["gbif_query"]))
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
     many = [f"t{n}_query" for n in range(10_001)]
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "SortMergeJoin" in plan(results.readable(log, many))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan(results.readable(log, many))

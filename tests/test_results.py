@@ -89,7 +89,14 @@ def test_latest_message_over_several_partitions(spark):
     assert answers(results.latest(log, order).select("topic", "value")) == {"t": "c", "u": "d"}
 
 
-@pytest.mark.parametrize("bad", ["not json", "", None, "[1]", "null", '{"kingdom": [', '{"species":"x"}'])
+GOOD = '{"kingdom":[],"species":1,"source_count":1,"source_name":"GBIF"}'
+BAD = [
+    "not json", "", None, "[1]", "null", '{"kingdom": [', '{"species":"x"}', "{}", GOOD + " junk", GOOD + GOOD,
+    f"{GOOD},{GOOD}", GOOD.replace('"', "'"), GOOD.replace('"species":1,', ""),
+]
+
+
+@pytest.mark.parametrize("bad", BAD)
 def test_a_topic_is_read_up_to_its_first_unreadable_message(spark, log, bad):
     more = spark.createDataFrame([("gbif_query", 1, bad), ("other_query", 0, bad)], LOG)
     read = results.readable(log.where("offset <> 1").union(more), TOPICS)
