@@ -86,12 +86,18 @@ def ngrams(text: str) -> tuple[np.ndarray, np.ndarray]:
     return found, total[found].astype(np.float32)
 
 
+def summed(found: np.ndarray, counts: np.ndarray, kind: type = np.float32) -> np.ndarray:
+    """The sum of n-grams' vectors by their counts, a slice of n-grams at a time."""
+    total, vectors = np.zeros(DIMENSIONS, kind), ngram_vectors()
+    for at in range(0, len(found), 4096):
+        total += counts[at : at + 4096].astype(kind) @ vectors[found[at : at + 4096]].astype(kind)
+    return total
+
+
 def bundle(text: str | None) -> np.ndarray | None:
     """The document's vector; None if it has no letter."""
     found, counts = ngrams(text) if text else ((), ())
-    if not len(found):
-        return None
-    return counts @ ngram_vectors()[found].astype(np.float32)
+    return summed(found, counts) if len(found) else None
 
 
 def train(docs: DataFrame) -> dict[str, np.ndarray]:
@@ -111,7 +117,10 @@ def train(docs: DataFrame) -> dict[str, np.ndarray]:
                         counts[lang] = np.zeros(PLACES**N, np.float64)
                     counts[lang][found] += n
         if counts:
-            rows = [(k, np.rint(v @ ngram_vectors().astype(np.float32)).astype(np.int64)) for k, v in counts.items()]
+            rows = []
+            for lang, total in counts.items():
+                found = np.flatnonzero(total)
+                rows.append((lang, np.rint(summed(found, total[found], np.float64)).astype(np.int64)))
             place = np.tile(np.arange(DIMENSIONS), len(rows))
             yield pd.DataFrame({
                 "lang": np.repeat([k for k, _ in rows], DIMENSIONS), "place": place,
