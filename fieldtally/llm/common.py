@@ -33,6 +33,14 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(name: str, df: DataFrame) -> str:
+    """The name, with strokes after it while the table has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def keyed_runs(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
     """Whole groups, one after the other, of batches that come sorted by the key."""
     held: list[pd.DataFrame] = []

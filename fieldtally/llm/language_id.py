@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldtally.llm.common import free_name
+
 #: Places of the alphabet: the gap between words, a-z, and the other letters by their code.
 PLACES = 64
 DIMENSIONS = 512
@@ -155,8 +157,9 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray]) -> DataFrame:
             langs[i], scores[i] = names[best], min(1.0, max(0.0, float(cosines[best])))
         return pd.DataFrame({"lang_pred": langs, "score": scores})
 
-    kept = docs.drop("lang_pred", "score", "_found")
-    return kept.withColumn("_found", predict("text")).select(*kept.columns, "_found.lang_pred", "_found.score")
+    kept = docs.drop("lang_pred", "score")
+    found = free_name("found", kept)
+    return kept.withColumn(found, predict("text")).select(*kept.columns, f"{found}.lang_pred", f"{found}.score")
 
 
 def remainder(column: str, by: int) -> Column:

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLE_POSITIVE, SAMPLE_NEGATIVE, SAMPLE_WINDOWS = 1500, 3000, 12
@@ -321,12 +321,16 @@ def sample(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple[li
                     rows.append((doc_id, " ".join(words[at : at + WINDOW])))
             yield pd.DataFrame(rows, columns=["doc_id", "words"])
 
-    # At most SAMPLE_POSITIVE + SAMPLE_NEGATIVE ids, so the broadcast is bounded.
+    # At most SAMPLE_POSITIVE + SAMPLE_NEGATIVE ids, so the broadcast is bounded; and of each id, however
+    # often it is repeated, at most SAMPLE_WINDOWS windows, so is what comes to the driver.
+    own = Window.partitionBy("doc_id").orderBy("words")
     rows = (
         docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
-        .mapInPandas(cut, "doc_id long, words string").toPandas()
+        .mapInPandas(cut, "doc_id long, words string")
+        .withColumn("place", F.row_number().over(own)).filter(F.col("place") <= SAMPLE_WINDOWS)
+        .select("doc_id", "words").toPandas()
     )
-    by_doc = {doc_id: sorted(own)[:SAMPLE_WINDOWS] for doc_id, own in rows.groupby("doc_id")["words"]}
+    by_doc = {doc_id: sorted(windows) for doc_id, windows in rows.groupby("doc_id")["words"]}
     ordered = sorted(by_doc)
     return [by_doc[d] for d in ordered], np.array([known[d] for d in ordered], np.int64)
 

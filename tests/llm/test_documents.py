@@ -355,3 +355,16 @@ def test_windows_cover_every_word():
     for n in range(1, 300):
         starts = toxicity.windows_of(n)
         assert {w for s in starts for w in range(s, s + toxicity.WINDOW)} >= set(range(n))
+
+
+def test_columns_of_names_used_inside_go_through(spark):
+    docs = documents(spark, [(i, f"{REPEATED}\nown {i}") for i in range(4)])
+    for name, value in (("gone", 1), ("gone_", 2), ("found", 3)):
+        docs = docs.withColumn(name, F.lit(value))
+    lean = line_dedup.drop_repeated_lines(docs)
+    assert lean.columns == [*docs.columns, "n_lines", "n_dropped"]
+    assert sorted((r["doc_id"], r["n_dropped"], r["gone"], r["gone_"]) for r in lean.collect()) == [
+        (0, 1, 1, 2), (1, 1, 1, 2), (2, 1, 1, 2), (3, 0, 1, 2)
+    ]
+    named = language_id.identify(docs, {"en": np.ones(language_id.DIMENSIONS)})
+    assert [r["found"] for r in named.collect()] == [3] * 4
