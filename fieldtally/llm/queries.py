@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldtally.llm import (
@@ -10,9 +10,12 @@ from fieldtally.llm import (
     html_wrappers,
     language_id,
     line_dedup,
+    merkle,
     mixing,
     packing,
+    periodic_runs,
     simhash,
+    substring_dedup,
     token_counts,
     topk,
     toxicity,
@@ -83,10 +86,41 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lean = substring_dedup.drop_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return lean.select("doc_id", "n_words", "n_removed", _text_hash("text").alias("kept_sha256"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of the documents as they are, held against texts of which every second has lost its line breaks."""
+    docs = table(spark, sf_dir, "documents")
+    even = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    lost = F.when(even, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    found = merkle.leaf_hash([lost if c == "text" else F.col(c) for c in merkle.FIELDS])
+    proofs = merkle.prove(docs, merkle.leaf_hash([F.col(c) for c in merkle.FIELDS]), carry=[found.alias("found")])
+    return merkle.verified(proofs, "found").select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_hash().alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_planted_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs.collapse_runs(docs)
+    exponent = F.floor(1000 * F.col("length") / F.col("period"))
+    return found.select(
+        "doc_id", "n_runs", "start", "length", "period", exponent.alias("exponent_milli"),
+        _text_hash("runs").alias("runs_sha256"), _text_hash("text").alias("collapsed_sha256"),
+    )
+
+
+def _text_hash(name: str) -> Column:
+    return F.sha2(F.col(name).cast("binary"), 256)
+
+
 REGISTERED = {
     f.__name__: f
     for f in (
         op1_mixing, op2_language, op3_embedding_dedup, op4_toxicity, op5_main_text, op6_simhash, op7_topk,
-        op8_line_dedup, op9_token_counts, op10_packing,
+        op8_line_dedup, op9_token_counts, op10_packing, op11_substring_dedup, op12_merkle, op13_periodic_runs,
     )
 }
