@@ -28,6 +28,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from fieldtally.llm.common import written
@@ -232,7 +233,7 @@ def proof_hash() -> Column:
     return F.sha2(F.lower(F.hex("segment")).cast("binary"), 256)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def folded_root(leaf: pd.Series, sides: pd.Series, segment: pd.Series) -> pd.Series:
     """The root that a leaf and its proof lead to."""
 
