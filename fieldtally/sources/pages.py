@@ -1,8 +1,17 @@
 """Landed API pages: one row per page, its JSON text in one column.
 
 Pages are split where they lie, one task per input split; the records come out as JSON text, ready to
-be published or parsed (numbers are written as a double reads them). Raw control characters inside strings are accepted, as the services send
-them. A page that cannot be read gives no records; ``mode="FAILFAST"`` fails the query instead.
+be published or parsed. Raw control characters inside strings are accepted, as the services send them.
+
+No page is lost without a word. A page can be read if it is one JSON document, alone, whose list of records is a
+list (of items that all have ``data``, where the source wraps its records). Any other page, ``{}``, null,
+an error message or two documents in a row among them, gives no records: ``mode="FAILFAST"`` fails the query,
+otherwise ``rejected_pages`` has it. Accepted and rejected pages together are all pages.
+
+Whole numbers survive at any length. Fractions are written as a double reads them, so that ``1.10`` is ``1.1``
+and ``1.0`` stays ``1.0``, no whole number to a parser with a schema. ``numbers="exact"`` keeps up to 38
+digits of a fraction, through Spark's VARIANT type; there ``1.0`` is ``1``, members are sorted by name, and a page with an object
+that has a member twice cannot be read.
 """
 
 from __future__ import annotations
@@ -13,36 +22,36 @@ from fieldtally.schemas import check_source
 
 # The part of each source's page envelope that is read.
 _ENVELOPES = {
-    "gbif": "results array<string>, endOfRecords boolean",
-    "idigbio": "items array<struct<data: string>>, itemCount bigint",
-    "obis": "results array<string>",
+    "gbif": "results: array<string>, endOfRecords: boolean",
+    "idigbio": "items: array<map<string, string>>, itemCount: bigint",
+    "obis": "results: array<string>",
 }
+_LISTS = {"gbif": "results", "idigbio": "items", "obis": "results"}
 
 _OPTIONS = {"allowUnquotedControlChars": "true"}
-_CORRUPT = "_corrupt_record"
+NUMBERS = ("double", "exact")
 
 # Fixed value: records asked for per page where the end shows in the page's own count.
 IDIGBIO_PAGE_SIZE = 100
 
 
 def unnest_pages(
-    pages: DataFrame, source: str, column: str = "page", mode: str = "PERMISSIVE"
+    pages: DataFrame,
+    source: str,
+    column: str = "page",
+    mode: str = "PERMISSIVE",
+    numbers: str = "double",
 ) -> DataFrame:
     """One row ``(topic, value)`` per record of every page; an empty page gives none."""
-    records = _records(_envelope(source, column, mode), source)
+    records = _records(source, column, mode, numbers)
     return pages.select(F.lit(source).alias("topic"), F.explode(records).alias("value"))
 
 
-def rejected_pages(pages: DataFrame, source: str, column: str = "page") -> DataFrame:
+def rejected_pages(
+    pages: DataFrame, source: str, column: str = "page", numbers: str = "double"
+) -> DataFrame:
     """The rows of ``pages`` whose page cannot be read: those that give no records without being empty."""
-    check_source(source)
-    options = {**_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    opened = F.from_json(column, f"{_ENVELOPES[source]}, {_CORRUPT} string", options)
-    names = [F.col(name) for name in pages.columns]
-    marked = pages.select(*names, opened.alias("envelope"))
-    envelope = F.col("envelope")
-    broken = envelope.isNull() | envelope[_CORRUPT].isNotNull() | _records(envelope, source).isNull()
-    return marked.where(broken).select(*pages.columns)
+    return pages.where(_records(source, column, "PERMISSIVE", numbers).isNull())
 
 
 def page_status(
@@ -58,9 +67,12 @@ def page_status(
     All three are NULL for a page that cannot be read.
     """
     others = [name for name in pages.columns if name != column]
-    envelope = F.col("envelope")
-    opened = pages.select(*others, _envelope(source, column, mode).alias("envelope"))
-    records = _records(envelope, source)
+    records, envelope = F.col("records"), F.col("envelope")
+    opened = pages.select(
+        *others,
+        _records(source, column, mode, "double").alias("records"),
+        F.get(_documents(source, column, mode), F.lit(0)).alias("envelope"),
+    )
     no_cursor = F.lit(None).cast("string")
     last_page, cursor = {
         "gbif": lambda: (envelope["endOfRecords"], no_cursor),
@@ -73,16 +85,51 @@ def page_status(
     return opened.select(
         *others,
         F.array_size(records).alias("record_count"),
-        last_page.alias("last_page"),
+        F.when(records.isNotNull(), last_page).alias("last_page"),
         cursor.alias("next_cursor"),
     )
 
 
-def _envelope(source: str, column: str, mode: str) -> Column:
-    check_source(source)
-    options = {**_OPTIONS, "mode": mode}
-    return F.from_json(column, _ENVELOPES[source], options)
+def _alone(column: str) -> Column:
+    # With an end behind it a page must be the first of two; one that closes the list early is the only one.
+    return F.concat(F.lit("["), F.col(column), F.lit(",null]"))
 
 
-def _records(envelope: Column, source: str) -> Column:
-    return envelope["items"]["data"] if source == "idigbio" else envelope["results"]
+def _documents(source: str, column: str, mode: str) -> Column:
+    check_source(source)
+    return F.from_json(_alone(column), f"array<struct<{_ENVELOPES[source]}>>", {**_OPTIONS, "mode": mode})
+
+
+def _records(source: str, column: str, mode: str, numbers: str) -> Column:
+    """The page's records as a list of texts, null if it cannot be read."""
+    if numbers not in NUMBERS:
+        raise ValueError(f"numbers are read as {' or '.join(NUMBERS)}, not {numbers!r}")
+    opened = _documents(source, column, mode)
+    # A list of one element makes what is parsed a variable, so it is parsed once and looked at often.
+    records = F.get(F.transform(F.array(opened), lambda pages: _listed(pages, source)), F.lit(0))
+    if numbers == "exact":
+        records = F.when(records.isNotNull(), _exact(source, column))
+    if mode != "FAILFAST":
+        return records
+    text = F.coalesce(F.substring(column, 1, 200), F.lit("NULL"))
+    message = F.concat(F.lit(f"Malformed page of {source}: "), text)
+    return F.coalesce(records, F.raise_error(message).cast("array<string>"))
+
+
+def _listed(pages: Column, source: str) -> Column:
+    alone = (F.size(pages) == 2) & F.get(pages, F.lit(1)).isNull()
+    listed = F.get(pages, F.lit(0))[_LISTS[source]]
+    if source == "idigbio":
+        whole = F.forall(listed, lambda item: F.coalesce(F.map_contains_key(item, "data"), F.lit(False)))
+        alone, listed = alone & whole, F.transform(listed, lambda item: F.try_element_at(item, F.lit("data")))
+    return F.when(alone, listed)
+
+
+def _exact(source: str, column: str) -> Column:
+    page = F.get(F.from_json(_alone(column), "array<variant>", _OPTIONS), F.lit(0))
+    listed = F.try_variant_get(page, f"$.{_LISTS[source]}", "array<variant>")
+    if source == "idigbio":
+        listed = F.transform(listed, lambda item: F.try_variant_get(item, "$.data", "variant"))
+    text = F.transform(listed, lambda record: F.to_json(record))
+    # As in the other way, a record that is null is a message without text.
+    return F.transform(text, lambda record: F.nullif(record, F.lit("null")))

@@ -94,3 +94,62 @@ def test_a_producer_fails_at_an_unreadable_page_unless_told(spark):
     with pytest.raises(Exception, match="MALFORMED|alformed"):
         page_messages(frame, "gbif").collect()
     assert page_messages(frame, "gbif", mode="PERMISSIVE").count() == 1
+
+
+LISTS = {"gbif": "results", "idigbio": "items", "obis": "results"}
+RECORD = {"gbif": '{"key":1}', "idigbio": '{"data":{"key":1}}', "obis": '{"id":"a"}'}
+
+
+def damaged(source):
+    """Pages of every kind of damage, none of which may pass for a page without records."""
+    name, record = LISTS[source], RECORD[source]
+    good = f'{{"{name}":[{record}]}}'
+    pages = [
+        "{}", "", "  \n", None, "null", "[]", "7", f'{{"{name}":null}}', f'{{"{name}":"x"}}', f'{{"{name}":{{}}}}',
+        '{"error":"rate limit"}', good + good, good + "," + good, good + "]", good + "],[", good + " x", good[:-1],
+        good + ",null", f"[{good}]", "<html>",
+    ]
+    if source == "idigbio":
+        pages += [f'{{"items":[{record},{item}]}}' for item in ('{"uuid":"u"}', "null", "7", "[]")]
+    return pages
+
+
+@pytest.mark.parametrize("numbers", ["double", "exact"])
+@pytest.mark.parametrize("source", ["gbif", "idigbio", "obis"])
+def test_no_page_is_lost(spark, source, numbers):
+    good = [f'{{"{LISTS[source]}":[]}}', f'{{"{LISTS[source]}":[{RECORD[source]}],"other":{{"x":[1]}}}}\n']
+    bad = damaged(source)
+    frame = pages(spark, *good, *bad)
+    rejected = rejected_pages(frame, source, numbers=numbers).select("n").collect()
+    assert sorted(row["n"] for row in rejected) == list(range(2, 2 + len(bad)))
+    assert len(unnest_pages(frame, source, numbers=numbers).collect()) == 1
+    counts = page_status(frame, source).select("n", "record_count", "last_page").collect()
+    assert {row["n"] for row in counts if row["record_count"] is None} == set(range(2, 2 + len(bad)))
+    assert all(row["last_page"] is None for row in counts if row["n"] > 1)
+
+
+@pytest.mark.parametrize("source", ["gbif", "idigbio", "obis"])
+def test_every_damage_fails_a_strict_reader(spark, source):
+    for page in damaged(source):
+        with pytest.raises(Exception, match="alformed|MALFORMED"):
+            unnest_pages(pages(spark, page), source, mode="FAILFAST").collect()
+
+
+def test_data_that_is_null_is_an_empty_message(spark):
+    assert records(spark, "idigbio", '{"items":[{"data":null},{"data":{"id":1}}]}') == [None, '{"id":1}']
+
+
+def test_numbers_as_sent(spark):
+    page = '{"results":[{"a":12345678901234567890123,"b":0.1234567890123456789,"c":1.0,"d":9007199254740993}]}'
+    frame = pages(spark, page)
+    as_double = unnest_pages(frame, "gbif").first()["value"]
+    assert as_double == '{"a":12345678901234567890123,"b":0.12345678901234568,"c":1.0,"d":9007199254740993}'
+    exact = unnest_pages(frame, "gbif", numbers="exact").first()["value"]
+    assert exact == '{"a":12345678901234567890123,"b":0.1234567890123456789,"c":1,"d":9007199254740993}'
+    with pytest.raises(ValueError, match="double or exact"):
+        unnest_pages(frame, "gbif", numbers="float")
+
+
+def test_a_page_is_parsed_once(spark):
+    plan = unnest_pages(pages(spark, "{}"), "idigbio")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1
