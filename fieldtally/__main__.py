@@ -23,7 +23,7 @@ from fieldtally.sources.messages import (
     message_stream,
     read_result_log,
 )
-from fieldtally.streaming.sinks import run_for
+from fieldtally.streaming.sinks import LARGE_STATE, SMALL_STATE, run_for
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
@@ -42,6 +42,7 @@ def report(spark, args):
         args.checkpoint,
         topics=args.topics,
         every=args.every or jobs.REPORT_TRIGGER,
+        settings=_state(args, SMALL_STATE),
     )
 
 
@@ -54,6 +55,7 @@ def live(spark, args):
         options=broker_options(args.servers) if args.format == BROKER else None,
         topics=args.topics,
         every=args.every or jobs.LIVE_TRIGGER,
+        settings=_state(args, SMALL_STATE),
     )
 
 
@@ -82,6 +84,14 @@ def count(spark, args) -> DataFrame:
     return results.count_by(results.readable(log, topics, order_by), args.by, active, order_by)
 
 
+def _state(args, settings):
+    """The job's state settings, with those of the command line on top."""
+    settings = {**settings, **(LARGE_STATE if args.state_store == "rocksdb" else {})}
+    if args.state_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(args.state_partitions)
+    return settings
+
+
 def _messages(spark, args) -> DataFrame:
     return message_stream(spark, args.topics, args.format, args.servers, args.messages, args.start)
 
@@ -104,6 +114,10 @@ def parser() -> argparse.ArgumentParser:
         streaming.add_argument("topics", nargs="+", choices=SOURCES)
         streaming.add_argument("--start", help="first offsets to read from the broker, latest if not given")
         streaming.add_argument("--seconds", type=float, default=seconds)
+        streaming.add_argument(
+            "--state-store", default="memory", choices=("memory", "rocksdb"), help="where running counts are kept"
+        )
+        streaming.add_argument("--state-partitions", type=int, help="parts of the state, fixed by the first start")
     producing = job.add_parser("produce", parents=[shared, running])
     producing.add_argument("source", choices=SOURCES)
     producing.add_argument("--pages", required=True, help="folder of landed pages")

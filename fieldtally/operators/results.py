@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldtally.functions import kingdom_label, source_label, source_url
+from fieldtally.operators.aggregates import species_estimate
 from fieldtally.operators.registry import active_sources
 from fieldtally.schemas import RESULT_DOCUMENT
 
@@ -26,17 +27,20 @@ def result_topic(name: Column) -> Column:
     return F.concat(name, F.lit(RESULT_SUFFIX))
 
 
-def build_documents(counts: DataFrame, keys: Sequence[str] = ("topic",)) -> DataFrame:
-    """One ``document`` per topic from ``snapshot_counts`` rows.
+def build_documents(
+    counts: DataFrame, keys: Sequence[str] = ("topic",), species: Column | None = None
+) -> DataFrame:
+    """One ``document`` per topic from ``kingdom_sketches`` rows.
 
     The input is already aggregated, so a list holds one entry per kingdom spelling. ``keys`` may
-    name further columns where the rows hold several snapshots of a topic.
+    name further columns where the rows hold several snapshots of a topic; ``species`` is the
+    aggregate that gives a document's number of species, if not that of the merged sketches.
     """
-    entry = F.struct("kingdom", "count")
+    species = species_estimate() if species is None else species
     documents = counts.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.when(~F.col("is_total"), entry))).alias("kingdom"),
-        F.max(F.when(F.col("is_total"), F.col("species"))).alias("species"),
-        F.max(F.when(F.col("is_total"), F.col("count"))).alias("source_count"),
+        F.sort_array(F.collect_list(F.struct("kingdom", "count"))).alias("kingdom"),
+        species.alias("species"),
+        F.sum("count").alias("source_count"),
     )
     fields = ("kingdom", "species", "source_count")
     document = F.struct(*fields, source_label(F.col("topic")).alias("source_name"))

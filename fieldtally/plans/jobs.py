@@ -8,10 +8,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fieldtally.operators.aggregates import (
     category_counts,
-    fold_name_counts,
     kingdom_counts,
-    name_counts,
-    snapshot_counts,
+    kingdom_exact_running,
+    kingdom_sketches,
 )
 from fieldtally.operators.records import core_records
 from fieldtally.operators.registry import find_source, mark_started
@@ -80,10 +79,11 @@ def start_category_report(
     name: str = "category_report",
     topics: Sequence[str] = SOURCES,
     every: str | None = REPORT_TRIGGER,
+    settings: Mapping[str, str] = SMALL_STATE,
 ) -> StreamingQuery:
     """The report as a running query; ``run_for(query, REPORT_SECONDS)`` gives its ten windows."""
     report = category_report(messages, topics)
-    return start_query(report, name, checkpoint, fmt=fmt, every=every, settings=SMALL_STATE)
+    return start_query(report, name, checkpoint, fmt=fmt, every=every, settings=settings)
 
 
 def snapshot_series(
@@ -137,20 +137,18 @@ def start_kingdom_exact(
     every: str | None = LIVE_TRIGGER,
     settings: Mapping[str, str] = LARGE_STATE,
 ) -> StreamingQuery:
-    """Exact distinct names per kingdom, kept by ``epoch_id``.
+    """Records and exact distinct names per kingdom, kept by ``epoch_id``.
 
-    State is one small row per name, spread by its hash and held outside the heap, so no kingdom's
-    names have to fit in one row or task. Each trigger reads all of it; where that is too much,
-    the estimates of the other jobs have a state of fixed size.
+    The names seen so far are small rows of state, spread by hash and held outside the heap. A
+    trigger reads and writes those of its own records; what it hands over is a row per kingdom.
     """
-    keep = snapshot_writer(path)
-
-    def fold_and_keep(batch: DataFrame, epoch_id: int) -> None:
-        keep(fold_name_counts(batch), epoch_id)
-
-    names = name_counts(_core(messages, topics))
     return start_query(
-        names, name, checkpoint, foreach_batch=fold_and_keep, every=every, settings=settings
+        kingdom_exact_running(_core(messages, topics)),
+        name,
+        checkpoint,
+        foreach_batch=snapshot_writer(path),
+        every=every,
+        settings=settings,
     )
 
 
@@ -167,10 +165,12 @@ def start_live_counts(
 ) -> StreamingQuery:
     """Publish one result document per source at every trigger.
 
-    Kingdom counts and totals come from one query, so a document never mixes two states.
+    Kingdom counts and totals come from one query, so a document never mixes two states. The state
+    is a count and a sketch of fixed size per kingdom spelling; ``LARGE_STATE`` in ``settings``
+    keeps it outside the heap for sources with a great many spellings.
     """
     return start_query(
-        snapshot_counts(_core(messages, topics)),
+        kingdom_sketches(_core(messages, topics)),
         name,
         checkpoint,
         foreach_batch=result_writer(fmt, path, options),

@@ -119,7 +119,7 @@ def latest_snapshot(snapshots: DataFrame) -> DataFrame:
 def result_writer(
     fmt: str = BROKER, path: str | None = None, options: Mapping[str, str] | None = None
 ) -> BatchWriter:
-    """Per-batch function that turns ``snapshot_counts`` rows into documents and publishes them.
+    """Per-batch function that turns ``kingdom_sketches`` rows into documents and publishes them.
 
     A broker may receive a document twice after a failure, which leaves the latest one the same. A
     table under ``path`` gets one partition per topic and trigger, the trigger's number as

@@ -72,7 +72,8 @@ def test_no_rows_give_no_rows(spark):
         aggregates.category_counts,
         aggregates.source_totals,
         aggregates.kingdom_exact,
-        aggregates.snapshot_counts,
+        aggregates.kingdom_sketches,
+        aggregates.kingdom_exact_running,
     ):
         assert count(nothing).collect() == []
 
@@ -99,12 +100,40 @@ def test_exact_counts_of_skewed_rows(skewed):
     assert rows(aggregates.kingdom_exact(skewed)) == rows_sorted(expected)
 
 
-def test_one_pass_snapshot_equals_the_separate_counts(skewed):
-    snapshot = aggregates.snapshot_counts(skewed)
-    kingdoms = snapshot.where(~F.col("is_total")).select("topic", "kingdom", "count")
+def test_the_running_form_gives_the_same_numbers(skewed):
+    assert rows(aggregates.kingdom_exact_running(skewed)) == rows(aggregates.kingdom_exact(skewed))
+
+
+def exact_names(skewed):
+    names = skewed.groupBy("topic").agg(F.count_distinct("scientificName").alias("n"))
+    return {row["topic"]: row["n"] for row in names.collect()}
+
+
+def test_sketches_hold_the_counts_and_merge_to_the_totals(skewed):
+    sketches = aggregates.kingdom_sketches(skewed)
+    kingdoms = sketches.select("topic", "kingdom", "count")
     assert rows(kingdoms) == rows(aggregates.kingdom_counts(skewed))
-    totals = snapshot.where("is_total").select(F.upper("topic"), "species", "count")
-    assert rows(totals) == rows(aggregates.source_totals(skewed))
+    merged = sketches.groupBy("topic").agg(aggregates.species_estimate().alias("species"))
+    exact = exact_names(skewed)
+    for topic, species in merged.collect():
+        assert abs(species - exact[topic]) <= 3 * 0.017 * exact[topic]
+
+
+def test_an_empty_name_is_a_name_for_sketches(spark):
+    core = spark.createDataFrame([("gbif", "A", ""), ("gbif", "A", "x"), ("gbif", None, None)], CORE)
+    merged = aggregates.kingdom_sketches(core).groupBy("topic").agg(aggregates.species_estimate())
+    assert rows(merged) == [("gbif", 2)]
+
+
+def test_sketches_of_two_halves_merge_like_one(skewed):
+    parts = [skewed.where(F.hash("scientificName", "kingdom") % 2 == half) for half in (0, 1, -1)]
+    halves = [aggregates.kingdom_sketches(part) for part in parts]
+    both = halves[0].union(halves[1]).union(halves[2])
+    merged = both.groupBy("topic").agg(aggregates.species_estimate().alias("species"))
+    exact = exact_names(skewed)
+    assert {row["topic"] for row in merged.collect()} == set(exact)
+    for topic, species in merged.collect():
+        assert abs(species - exact[topic]) <= 3 * 0.017 * exact[topic]
 
 
 def test_estimates_stay_within_their_bound(skewed):

@@ -16,7 +16,10 @@ def test_from_pages_to_merged_counts(spark, tmp_path):
     main(["produce", *source, *files])
     assert spark.read.parquet(folder["messages"]).count() == 8
     target = ["gbif", "--results", folder["results"], "--checkpoint", folder["c2"], "--seconds", "8"]
-    main(["live", *target, *files])
+    main(["live", *target, *files, "--state-store", "rocksdb", "--state-partitions", "3"])
+    state = tmp_path / "c2" / "state" / "0"
+    assert sorted(p.name for p in state.iterdir() if p.name.isdigit()) == ["0", "1", "2"]
+    assert any(state.rglob("*.changelog"))
     main(["report", "gbif", "--checkpoint", folder["c3"], "--seconds", "1", *files])
     expected = {
         "kingdom": {"kingdom": "Animalia", "count": 8},

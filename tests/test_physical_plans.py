@@ -35,7 +35,7 @@ def test_no_python_and_no_pairs(spark, name):
 
 
 def test_json_is_parsed_once_per_message(core):
-    for df in (core, aggregates.kingdom_exact(core), aggregates.snapshot_counts(core)):
+    for df in (core, aggregates.kingdom_exact(core), aggregates.kingdom_sketches(core)):
         parses = [line for line in plan(df).splitlines() if "from_json(" in line]
         assert len(parses) == 1
 
@@ -60,11 +60,12 @@ def test_aggregates_are_combined_before_the_shuffle(core):
         aggregates.kingdom_counts(core),
         aggregates.category_counts(core),
         aggregates.source_totals(core),
-        aggregates.snapshot_counts(core),
+        aggregates.kingdom_sketches(core),
     ):
         text = plan(df)
         assert text.count("Exchange") == 1
         assert "partial_count" in text[text.index("Exchange") :]
+        assert "Expand" not in text
 
 
 def test_the_log_itself_is_not_shuffled(spark):

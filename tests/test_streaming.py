@@ -86,9 +86,35 @@ def test_a_table_in_memory(spark, sent, stream, tmp_path):
     assert rows(spark.table("totals")) == rows(aggregates.source_totals(batch_core(sent)))
 
 
-def test_exact_stream_equals_batch(spark, sent, stream, tmp_path):
+def kingdoms_of(sent):
+    return batch_core(sent).select("topic", "kingdom").distinct().count()
+
+
+def test_exact_stream_equals_batch_and_hands_over_kingdoms_only(spark, sent, stream, tmp_path):
     path = str(tmp_path / "exact")
-    sinks.run_for(jobs.start_kingdom_exact(stream, path, str(tmp_path / "c"), every=None))
+    query = jobs.start_kingdom_exact(stream, path, str(tmp_path / "c"), every=None)
+    sinks.run_for(query)
+    snapshots = sinks.read_snapshots(spark, path)
+    last, counts = last_epoch(snapshots)
+    assert last == 5
+    assert rows(counts) == rows(aggregates.kingdom_exact(batch_core(sent)))
+    # Names stay in the state: it has all of them, and each trigger emits a row per kingdom.
+    names = batch_core(sent).dropna(subset=["scientificName"]).distinct().count()
+    operators = {op["operatorName"]: op for op in query.lastProgress["stateOperators"]}
+    assert operators["dedupe"]["numRowsTotal"] == names
+    assert operators["stateStoreSave"]["numRowsTotal"] == kingdoms_of(sent) < names / 4
+    emitted = snapshots.groupBy("epoch_id").count().collect()
+    assert len(emitted) == 6 and all(row["count"] <= kingdoms_of(sent) for row in emitted)
+
+
+def test_exact_stream_goes_on_from_its_checkpoint(spark, sent, landed, tmp_path):
+    path, checkpoint = str(tmp_path / "exact"), str(tmp_path / "c")
+    first = jobs.start_kingdom_exact(file_by_file(spark, landed), path, checkpoint, every="0 seconds")
+    deadline = time.time() + 60
+    while not first.recentProgress and time.time() < deadline:
+        time.sleep(0.05)
+    assert not sinks.run_for(first, 0.1)
+    sinks.run_for(jobs.start_kingdom_exact(file_by_file(spark, landed), path, checkpoint, every=None))
     last, counts = last_epoch(sinks.read_snapshots(spark, path))
     assert last == 5
     assert rows(counts) == rows(aggregates.kingdom_exact(batch_core(sent)))
@@ -127,8 +153,13 @@ def test_live_documents_equal_the_batch_counts(spark, sent, stream, tmp_path):
     log = read_result_log(spark, mirror.TOPICS, "parquet", path=path)
     assert rows(log.groupBy("topic").count()) == [(topic, 6) for topic in RESULT_TOPICS]
     last = results.open_documents(results.latest(results.readable(log, RESULT_TOPICS)))
-    totals = last.select("document.source_name", "document.species", "document.source_count")
-    assert rows(totals) == rows(aggregates.source_totals(batch_core(sent)))
+    totals = last.select("document.source_name", "document.source_count", "document.species").collect()
+    exact = batch_core(sent).groupBy(F.upper("topic")).agg(F.count("*"), F.count_distinct("scientificName"))
+    expected = {name: numbers for name, *numbers in exact.collect()}
+    assert {row["source_name"] for row in totals} == set(expected)
+    for name, records, species in totals:
+        assert records == expected[name][0]
+        assert abs(species - expected[name][1]) <= 3 * 0.017 * expected[name][1]
     kingdoms = last.select(
         F.regexp_replace("topic", "_query$", "").alias("topic"), F.inline("document.kingdom")
     )
@@ -136,7 +167,7 @@ def test_live_documents_equal_the_batch_counts(spark, sent, stream, tmp_path):
 
 
 def test_a_repeated_batch_replaces_its_own_rows(spark, sent, tmp_path):
-    snapshot = aggregates.snapshot_counts(batch_core(sent))
+    snapshot = aggregates.kingdom_sketches(batch_core(sent))
     path = str(tmp_path / "results")
     write = sinks.result_writer("parquet", path)
     for epoch in (0, 1, 1, 0):

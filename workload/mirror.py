@@ -179,6 +179,26 @@ def document_pages(documents: DataFrame, source: str) -> DataFrame:
     return documents.select("doc_id", F.to_json(envelope).alias("page"))
 
 
+def damaged_pages(documents: DataFrame, source: str) -> DataFrame:
+    """``document_pages`` of which most are damaged in one of several ways, by ``doc_id``."""
+    records = "items" if source == "idigbio" else "results"
+    page, damage = F.col("page"), F.col("doc_id") % 12
+    text = (
+        F.when(damage == 0, F.expr("substring(page, 1, length(page) - 1)"))
+        .when(damage == 1, F.concat(page, page))
+        .when(damage == 2, F.lit("{}"))
+        .when(damage == 3, F.lit(None).cast("string"))
+        .when(damage == 4, F.lit(" "))
+        .when(damage == 5, F.lit(f'{{"{records}":null}}'))
+        .when(damage == 6, F.lit('{"error":"rate limit"}'))
+        .when(damage == 7, F.lit(f'{{"{records}":"none"}}'))
+        .when(damage == 8, F.concat(page, F.lit("]")))
+        .when(damage == 9, F.concat(F.lit("["), page, F.lit("]")))
+        .otherwise(page)
+    )
+    return document_pages(documents, source).withColumn("page", text)
+
+
 def daily_results(events: DataFrame) -> DataFrame:
     """Result log ``(topic, offset, value)``: one document per source and day, offset by day.
 
@@ -187,13 +207,11 @@ def daily_results(events: DataFrame) -> DataFrame:
     seen = observations(events).select(
         "topic", "kingdom", "scientificName", day_number("ts").alias("offset")
     )
-    sets = [["topic", "offset", "kingdom"], ["topic", "offset"]]
-    counts = seen.groupingSets(sets, "topic", "offset", "kingdom").agg(
-        (F.grouping("kingdom") == 1).alias("is_total"),
-        F.count("*").alias("count"),
-        F.count_distinct("scientificName").alias("species"),
-    )
-    return result_messages(build_documents(counts, keys=("topic", "offset")))
+    day = ["topic", "offset"]
+    names = seen.dropDuplicates([*day, "scientificName"]).groupBy(*day)
+    species = names.agg(F.count("scientificName").alias("species"))
+    counts = seen.groupBy(*day, "kingdom").agg(F.count("*").alias("count")).join(species, day)
+    return result_messages(build_documents(counts, keys=day, species=F.max("species")))
 
 
 def broken_results(events: DataFrame) -> DataFrame:

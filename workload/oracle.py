@@ -29,7 +29,7 @@ CATEGORY_COLUMNS = """
     count(*) AS total_records
 """
 
-CATEGORY_REPORT = f"SELECT {CATEGORY_COLUMNS} FROM ({OBSERVATIONS}) GROUP BY topic"
+CATEGORY_REPORT = f"SELECT {CATEGORY_COLUMNS}, true AS species_within_bound FROM ({OBSERVATIONS}) GROUP BY topic"
 
 # The days of each topic before the 20th's broken document of the third source.
 READABLE_DAYS = f"""
@@ -130,6 +130,12 @@ ORACLE_SQL = {
                doc_id || '-' || (len(lines) - 1) AS next_cursor
         FROM ({DOCUMENT_LINES})
     """,
+    "rejected_pages": f"""
+        SELECT source, doc_id, doc_id % 12 < 10 AS rejected,
+               CASE WHEN doc_id % 12 >= 10 THEN CAST(len(lines) AS INTEGER) END AS record_count
+        FROM ({DOCUMENT_LINES})
+        CROSS JOIN (VALUES ('gbif'), ('idigbio'), ('obis')) AS sources(source)
+    """,
     "encode_messages": f"""
         SELECT 'gbif' AS topic,
                '{{"event_id":' || event_id
@@ -201,7 +207,8 @@ ORACLE_SQL = {
     "stream_category_report": CATEGORY_REPORT,
     "stream_kingdom_exact": KINGDOM_EXACT,
     "stream_snapshots": f"""
-        SELECT {CATEGORY_COLUMNS}, CAST(number AS BIGINT) AS epoch_id
+        SELECT {CATEGORY_COLUMNS}, CAST(number AS BIGINT) AS epoch_id,
+               true AS species_within_bound
         FROM ({OBSERVATIONS}) CROSS JOIN range(4) AS weeks(number)
         WHERE least(3, floor((day(ts) - 1) / 7)) <= number
         GROUP BY topic, number
@@ -212,7 +219,8 @@ ORACLE_SQL = {
     """,
     "live_counts": f"""
         SELECT topic || '_query' AS topic, upper(topic) AS source_name,
-               CAST(sum(count) OVER (PARTITION BY topic) AS BIGINT) AS source_count, kingdom, count
+               CAST(sum(count) OVER (PARTITION BY topic) AS BIGINT) AS source_count, kingdom, count,
+               true AS species_within_bound
         FROM ({KINGDOM_COUNTS})
     """,
     "stream_produce": f"""

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fieldtally.functions import source_name
 from fieldtally.operators import aggregates, records, registry, results
 from fieldtally.plans import jobs
+from fieldtally.sources import pages as page_source
 from fieldtally.sources.messages import decode_value, file_stream, read_result_log
 from fieldtally.sources.pages import page_status, unnest_pages
 from fieldtally.streaming import sinks
@@ -159,6 +161,20 @@ def page_status_cursor(spark, sf_dir):
     return page_status(mirror.document_pages(_documents(spark, sf_dir), "obis"), "obis")
 
 
+@registered
+def rejected_pages(spark, sf_dir):
+    """Pages of all sources, most of them damaged: those read with their records, the others as rejected."""
+    found = []
+    for source in mirror.TOPICS:
+        pages = mirror.damaged_pages(_documents(spark, sf_dir), source)
+        read = page_status(pages, source).where(F.col("record_count").isNotNull())
+        found.append(read.select("doc_id", "record_count", F.lit(False).alias("rejected")))
+        lost = page_source.rejected_pages(pages, source)
+        found.append(lost.select("doc_id", F.lit(None).cast("int"), F.lit(True)))
+        found[-2:] = [part.select(F.lit(source).alias("source"), "*") for part in found[-2:]]
+    return reduce(DataFrame.union, found)
+
+
 # Messages
 
 
@@ -179,6 +195,26 @@ def text_round_trip(spark, sf_dir):
 
 # Aggregates
 
+# Relative errors of the two species estimates.
+ESTIMATE_ERROR = 0.05
+SKETCH_ERROR = 1.04 / 2 ** (aggregates.SKETCH_SIZE / 2)
+
+
+def _exact_species(events: DataFrame, *keys: str) -> DataFrame:
+    """Exact number of names per source, where ``keys`` are given also per their values."""
+    seen = mirror.observations(events).withColumn("source", F.upper("topic"))
+    names = seen.dropDuplicates(["source", *keys, "scientificName"])
+    return names.groupBy("source", *keys).agg(F.count("scientificName").alias("exact"))
+
+
+def _within_bound(
+    events: DataFrame, report: DataFrame, estimate: str, error: float = ESTIMATE_ERROR, *keys: str
+) -> DataFrame:
+    """The report with its estimate replaced by whether it is within three errors of the exact number."""
+    within = F.abs(F.col(estimate) - F.col("exact")) <= 3 * error * F.col("exact")
+    joined = report.join(_exact_species(events, *keys), ["source", *keys])
+    return joined.withColumn("species_within_bound", within).drop(estimate, "exact")
+
 
 @registered
 def kingdom_counts(spark, sf_dir):
@@ -192,24 +228,16 @@ def kingdom_exact(spark, sf_dir):
 
 @registered
 def category_report(spark, sf_dir):
-    report = jobs.category_report(mirror.messages(_events(spark, sf_dir)))
-    return report.drop("unique_species")
+    events = _events(spark, sf_dir)
+    return _within_bound(events, jobs.category_report(mirror.messages(events)), "unique_species")
 
 
 @registered
 def species_bound(spark, sf_dir):
     """Totals, with the species estimate checked against the exact number."""
-    core = _core(_events(spark, sf_dir))
-    names = core.groupBy("topic", "scientificName").agg(F.count("*").alias("rows"))
-    exact = names.groupBy(F.upper("topic").alias("source")).agg(
-        F.count("scientificName").alias("exact")
-    )
-    within = F.abs(F.col("distinct_count") - F.col("exact")) <= 3 * 0.05 * F.col("exact")
-    return (
-        aggregates.source_totals(core)
-        .join(exact, "source")
-        .select("source", "total_records", within.alias("within_bound"))
-    )
+    events = _events(spark, sf_dir)
+    totals = _within_bound(events, aggregates.source_totals(_core(events)), "distinct_count")
+    return totals.withColumnRenamed("species_within_bound", "within_bound")
 
 
 def _lineitem_core(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -368,7 +396,7 @@ def stream_category_report(spark, sf_dir):
         every=None,
     )
     sinks.run_for(query)
-    return spark.table(name).drop("unique_species")
+    return _within_bound(_events(spark, sf_dir), spark.table(name), "unique_species")
 
 
 @registered
@@ -393,8 +421,8 @@ def stream_snapshots(spark, sf_dir):
     events = _events(spark, sf_dir)
     landed, path = run_folder(spark, "landed"), run_folder(spark, "snapshots")
     checkpoint = run_folder(spark, "checkpoint")
-    week = F.least(F.lit(3), F.floor((F.dayofmonth("ts") - 1) / 7))
-    sent = mirror.messages(events).withColumn("week", week)
+    week_of = F.least(F.lit(3), F.floor((F.dayofmonth("ts") - 1) / 7))
+    sent = mirror.messages(events).withColumn("week", week_of)
     for number in range(4):
         part = sent.where(F.col("week") == number).select("topic", "value")
         part.write.mode("append").parquet(landed)
@@ -405,7 +433,10 @@ def stream_snapshots(spark, sf_dir):
             stream, path, checkpoint, name=_unique("snapshot_series"), every=None
         )
         sinks.run_for(query)
-    return sinks.read_snapshots(spark, path).drop("unique_species")
+    # Each snapshot holds the events of its week and of all before.
+    week = F.col("week").cast("bigint")
+    so_far = events.withColumn("week", week_of).withColumn("epoch_id", F.explode(F.sequence(week, F.lit(3).cast("bigint"))))
+    return _within_bound(so_far, sinks.read_snapshots(spark, path), "unique_species", ESTIMATE_ERROR, "epoch_id")
 
 
 @registered
@@ -454,13 +485,16 @@ def live_counts(spark, sf_dir):
     sinks.run_for(query)
     log = read_result_log(spark, mirror.TOPICS, "parquet", path=path)
     last = results.open_documents(results.latest(results.readable(log, RESULT_TOPICS)))
-    return last.select("topic", "document", F.explode("document.kingdom").alias("entry")).select(
+    opened = last.select("topic", "document", F.explode("document.kingdom").alias("entry")).select(
         "topic",
-        "document.source_name",
+        F.col("document.source_name").alias("source"),
         "document.source_count",
+        "document.species",
         "entry.kingdom",
         "entry.count",
     )
+    within = _within_bound(_events(spark, sf_dir), opened, "species", SKETCH_ERROR)
+    return within.withColumnRenamed("source", "source_name")
 
 
 @registered
