@@ -8,6 +8,7 @@ topic has one partition; with several, name ``timestamp``, ``partition`` and ``o
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -97,11 +98,16 @@ def open_documents(log: DataFrame) -> DataFrame:
 def latest(log: DataFrame, order_by: Sequence[str] = ("offset",)) -> DataFrame:
     """The last message of each topic.
 
-    ``max_by`` keeps one row per topic and task, so only those are shuffled.
+    The place of the last message is found first, from the order columns alone, in a hash table of one
+    row per topic and task; the message itself is then fetched by its place. No text is sorted,
+    aggregated or shuffled, and a columnar log is read without its texts in the first pass. A place
+    holds one message, as in a broker and in a table of ``sinks.result_writer``.
     """
-    values = [name for name in log.columns if name != "topic"]
-    last = F.max_by(F.struct(*values), _order(order_by)).alias("last")
-    return log.groupBy("topic").agg(last).select("topic", "last.*")
+    place = _place(log, order_by)
+    last = log.groupBy(F.col("topic").alias("last_topic")).agg(F.max(place).alias("last_place"))
+    # At most one row per topic, and each of them is in the result.
+    fetched = log.join(F.broadcast(last), (F.col("topic") == F.col("last_topic")) & (place == F.col("last_place")))
+    return fetched.drop("last_topic", "last_place")
 
 
 def active_results(log: DataFrame, registry: DataFrame) -> DataFrame:
@@ -134,5 +140,21 @@ def count_by(
     return counts.select(source_url(F.col("name")).alias("source"), "count")
 
 
+# Decimal places for a broker's partition number and offset, which go below the
+# eighteen of a time in microseconds.
+_PARTITION_DIGITS, _OFFSET_DIGITS = 5, 15
+_BROKER_ORDER = ("timestamp", "partition", "offset")
+
+
+def _place(log: DataFrame, order_by: Sequence[str]) -> Column:
+    """The order columns as one value; a broker's as one number, which a hash aggregate can hold."""
+    if tuple(order_by) != _BROKER_ORDER or dict(log.dtypes)["timestamp"] != "timestamp":
+        return _order(order_by)
+    whole = "decimal(38,0)"
+    time, partition = F.unix_micros("timestamp").cast(whole), F.col("partition").cast(whole)
+    above_time, above_partition = Decimal(10) ** (_PARTITION_DIGITS + _OFFSET_DIGITS), Decimal(10) ** _OFFSET_DIGITS
+    return (time * F.lit(above_time) + partition * F.lit(above_partition) + F.col("offset").cast(whole)).cast(whole)
+
+
 def _order(order_by: Sequence[str]) -> Column:
     return F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by)

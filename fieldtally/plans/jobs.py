@@ -13,11 +13,11 @@ from fieldtally.operators.aggregates import (
     kingdom_sketches,
 )
 from fieldtally.operators.records import core_records
-from fieldtally.operators.registry import find_source, mark_started
+from fieldtally.operators.registry import RunningSources, find_source, mark_started
 from fieldtally.operators.results import RESULT_SUFFIX
 from fieldtally.schemas import SOURCES
 from fieldtally.sources.messages import BROKER, decode_value, message_stream
-from fieldtally.sources.pages import unnest_pages
+from fieldtally.sources.pages import unnest_with_places
 from fieldtally.streaming.sinks import (
     LARGE_STATE,
     SMALL_STATE,
@@ -36,17 +36,24 @@ LIVE_TRIGGER = "15 seconds"
 class StartedSource(NamedTuple):
     query: StreamingQuery
     registry: DataFrame
+    producer: StreamingQuery | None = None
 
 
 def page_messages(
-    pages: DataFrame, source: str, column: str = "page", mode: str = "FAILFAST"
+    pages: DataFrame,
+    source: str,
+    column: str = "page",
+    mode: str = "FAILFAST",
+    page_key: Sequence[str] = (),
 ) -> DataFrame:
     """Landed pages as messages to the source's topic, one per record; batch or stream.
 
     A page that cannot be read fails the job. With ``mode="PERMISSIVE"`` it is passed over, and
-    ``rejected_pages`` of the same pages shows it.
+    ``rejected_pages`` of the same pages shows it. A message's key comes from its page and its
+    position, so a page that is sent again gives the same messages, of which ``unique_messages``
+    leaves one; ``page_key`` names the columns that tell pages of equal text apart.
     """
-    return record_messages(unnest_pages(pages, source, column, mode))
+    return record_messages(unnest_with_places(pages, source, column, mode, page_key=page_key))
 
 
 def start_producer(
@@ -59,9 +66,10 @@ def start_producer(
     column: str = "page",
     every: str | None = LIVE_TRIGGER,
     mode: str = "FAILFAST",
+    page_key: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Publish the records of a source's pages as they land; see ``page_messages`` for ``mode``."""
-    messages = page_messages(pages, source, column, mode)
+    """Publish the records of a source's pages as they land; see ``page_messages`` for ``mode`` and ``page_key``."""
+    messages = page_messages(pages, source, column, mode, page_key)
     return start_query(
         messages, name, checkpoint, fmt=fmt, mode="append", every=every, options=options
     )
@@ -93,13 +101,18 @@ def snapshot_series(
     name: str = "snapshot_series",
     topics: Sequence[str] = SOURCES,
     every: str | None = REPORT_TRIGGER,
+    keep: int | None = None,
+    compact: int | None = None,
 ) -> StreamingQuery:
-    """The report at every trigger, kept by ``epoch_id``. Counts add up and never start over."""
+    """The report at every trigger, kept by ``epoch_id``. Counts add up and never start over.
+
+    ``keep`` and ``compact`` bound the epochs and folders that are kept, see ``SnapshotTable``.
+    """
     return start_query(
         category_report(messages, topics),
         name,
         checkpoint,
-        foreach_batch=snapshot_writer(path),
+        foreach_batch=snapshot_writer(path, keep, compact),
         every=every,
         settings=SMALL_STATE,
     )
@@ -113,6 +126,8 @@ def start_kingdom_counts(
     topics: Sequence[str] = SOURCES,
     every: str | None = LIVE_TRIGGER,
     settings: Mapping[str, str] = SMALL_STATE,
+    keep: int | None = None,
+    compact: int | None = None,
 ) -> StreamingQuery:
     """Kingdom counts as spelled, kept by ``epoch_id``.
 
@@ -122,7 +137,7 @@ def start_kingdom_counts(
         kingdom_counts(_core(messages, topics)),
         name,
         checkpoint,
-        foreach_batch=snapshot_writer(path),
+        foreach_batch=snapshot_writer(path, keep, compact),
         every=every,
         settings=settings,
     )
@@ -136,6 +151,8 @@ def start_kingdom_exact(
     topics: Sequence[str] = SOURCES,
     every: str | None = LIVE_TRIGGER,
     settings: Mapping[str, str] = LARGE_STATE,
+    keep: int | None = None,
+    compact: int | None = None,
 ) -> StreamingQuery:
     """Records and exact distinct names per kingdom, kept by ``epoch_id``.
 
@@ -146,7 +163,7 @@ def start_kingdom_exact(
         kingdom_exact_running(_core(messages, topics)),
         name,
         checkpoint,
-        foreach_batch=snapshot_writer(path),
+        foreach_batch=snapshot_writer(path, keep, compact),
         every=every,
         settings=settings,
     )
@@ -187,23 +204,45 @@ def add_source(
     source: Mapping[str, object] | None = None,
     sink: Mapping[str, object] | None = None,
     every: str | None = LIVE_TRIGGER,
+    pages: DataFrame | None = None,
+    producer: Mapping[str, object] | None = None,
+    running: RunningSources | None = None,
 ) -> StartedSource:
-    """Start the live counts of the source behind ``url``; unknown URLs raise ``ValueError``.
+    """Start the source behind ``url``; unknown URLs raise ``ValueError``.
 
-    ``source`` and ``sink`` are further arguments of ``message_stream`` and ``start_live_counts``.
-    The returned registry shows the source as active.
+    Its live counts are started, and before them its producer if ``pages`` has its landed pages. Without
+    a trigger (``every=None``) the producer has ended before the counts start, so that they see all it sent.
+    ``source``, ``sink`` and ``producer`` are further arguments of ``message_stream``, ``start_live_counts``
+    and ``start_producer``. The returned registry shows the source as active; ``running`` counts the
+    queries for as long as they live, and its registry is returned instead.
     """
     name = find_source(registry, url)
-    stream = message_stream(spark, [name], **(source or {}))
-    query = start_live_counts(
-        stream,
-        checkpoint,
-        name=name + RESULT_SUFFIX,
-        topics=[name],
-        every=every,
-        **(sink or {}),
-    )
-    return StartedSource(query, mark_started(registry, name))
+    sending = None
+    if pages is not None:
+        sending = start_producer(
+            pages, name, f"{checkpoint}/producer", name=name + "_producer", every=every, **(producer or {})
+        )
+        if running:
+            running.watch(name, sending, producer=True)
+    try:
+        if sending is not None and every is None:
+            sending.awaitTermination()
+        query = start_live_counts(
+            message_stream(spark, [name], **(source or {})),
+            f"{checkpoint}/counts",
+            name=name + RESULT_SUFFIX,
+            topics=[name],
+            every=every,
+            **(sink or {}),
+        )
+    except Exception:
+        if sending is not None:
+            sending.stop()
+        raise
+    if running:
+        running.watch(name, query)
+        return StartedSource(query, running.registry(registry), sending)
+    return StartedSource(query, mark_started(registry, name, sending is not None), sending)
 
 
 def _core(messages: DataFrame, topics: Sequence[str]) -> DataFrame:

@@ -72,6 +72,16 @@ def decode_value(messages: DataFrame) -> DataFrame:
     return messages.select("topic", F.col("value").cast("string").alias("value"))
 
 
+def unique_messages(messages: DataFrame) -> DataFrame:
+    """Each message once by its topic and key, as a producer that starts again sends some twice.
+
+    Messages without a key all stay. Of a stream the keys seen are state, spread by hash, which grows
+    with the messages: run its query with ``sinks.LARGE_STATE``.
+    """
+    keyed = messages.where(F.col("key").isNotNull()).dropDuplicates(["topic", "key"])
+    return keyed.unionByName(messages.where(F.col("key").isNull()))
+
+
 def read_result_log(
     spark: SparkSession,
     names: Sequence[str],

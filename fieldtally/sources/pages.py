@@ -16,6 +16,8 @@ that has a member twice cannot be read.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fieldtally.schemas import check_source
@@ -47,6 +49,25 @@ def unnest_pages(
     return pages.select(F.lit(source).alias("topic"), F.explode(records).alias("value"))
 
 
+def unnest_with_places(
+    pages: DataFrame,
+    source: str,
+    column: str = "page",
+    mode: str = "PERMISSIVE",
+    numbers: str = "double",
+    page_key: Sequence[str] = (),
+) -> DataFrame:
+    """``unnest_pages`` with each record's ``page_key`` and ``position`` in its page.
+
+    A page is known by the columns ``page_key``, or by its text where none are named: two pages of
+    the same text are then one page that has come twice.
+    """
+    records = _records(source, column, mode, numbers)
+    known_by = F.to_json(F.struct(*page_key)) if page_key else F.sha2(F.col(column).cast("binary"), 256)
+    found = pages.select(known_by.alias("page_key"), F.posexplode(records).alias("position", "value"))
+    return found.select(F.lit(source).alias("topic"), "value", "page_key", "position")
+
+
 def rejected_pages(
     pages: DataFrame, source: str, column: str = "page", numbers: str = "double"
 ) -> DataFrame:

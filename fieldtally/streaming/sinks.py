@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
-from contextlib import contextmanager
+import time
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager, suppress
 from threading import Lock
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fieldtally.operators.results import build_documents, result_messages
 from fieldtally.sources.messages import BROKER
+from fieldtally.streaming.manifest import SnapshotTable
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -28,18 +31,33 @@ LARGE_STATE = {
 }
 
 
-def encode_messages(records: DataFrame, topic: str) -> DataFrame:
-    """One message per record: a random key and its JSON text, members without value kept."""
+def message_key(*parts: Column) -> Column:
+    """A key in the form of a UUID that is the same whenever the parts are; their texts are not null."""
+    digest = F.md5(F.concat_ws("\x1f", *parts).cast("binary"))
+    cuts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
+    return F.concat_ws("-", *[F.substring(digest, start, length) for start, length in cuts])
+
+
+def encode_messages(records: DataFrame, topic: str, key: Sequence[str] = ()) -> DataFrame:
+    """One message per record: a key and its JSON text, members without value kept.
+
+    The key is random, or worked out from the columns ``key``, so that a record sent again has it again.
+    """
     value = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
-    return records.select(
-        F.uuid().alias("key"), value.alias("value"), F.lit(topic).alias("topic")
-    )
+    of_columns = [F.coalesce(F.to_json(F.struct(F.col(name))), F.lit("")) for name in key]
+    own = message_key(F.lit(topic), *of_columns) if key else F.uuid()
+    return records.select(own.alias("key"), value.alias("value"), F.lit(topic).alias("topic"))
 
 
 def record_messages(records: DataFrame) -> DataFrame:
-    """Messages of records that are JSON text already, such as unnested pages."""
+    """Messages of records that are JSON text already, such as unnested pages.
+
+    The key is made from the record's page and its position there, if the records have them.
+    """
     value = F.coalesce("value", F.lit("null")).alias("value")
-    return records.select(F.uuid().alias("key"), value, "topic")
+    placed = {"page_key", "position"} <= set(records.columns)
+    key = message_key(F.col("topic"), F.col("page_key"), F.col("position").cast("string")) if placed else F.uuid()
+    return records.select(key.alias("key"), value, "topic")
 
 
 def publish(
@@ -93,27 +111,64 @@ def run_for(query: StreamingQuery, seconds: float | None = None) -> bool:
         query.stop()
 
 
-def snapshot_writer(path: str) -> BatchWriter:
-    """Per-batch function that keeps each trigger's rows under ``path`` by ``epoch_id``.
+class RunFailed(Exception):
+    """At least one of several queries failed; ``failures`` has the message of each that did, by name."""
+
+    def __init__(self, failures: dict[str, str]):
+        super().__init__("; ".join(f"{name}: {message}" for name, message in failures.items()))
+        self.failures = failures
+
+
+def run_together(
+    spark: SparkSession, queries: Sequence[StreamingQuery], seconds: float | None = None
+) -> dict[str, bool]:
+    """Wait up to ``seconds``, or until all queries have ended, and stop them.
+
+    The first one that fails ends the run: the others are stopped and ``RunFailed`` reports all
+    failures. Otherwise returns, by name, whether each query ended by itself.
+    """
+    deadline = None if seconds is None else time.monotonic() + seconds
+    try:
+        while not any(query.exception() for query in queries) and any(query.isActive for query in queries):
+            left = None if deadline is None else deadline - time.monotonic()
+            if left is not None and left <= 0:
+                break
+            with suppress(StreamingQueryException):  # of any query of the session; ours are looked at below
+                # Forgotten before the wait, so that what ended earlier does not end it at once. What ends in
+                # between is seen by the loop's condition at the latest a second later.
+                spark.streams.resetTerminated()
+                spark.streams.awaitAnyTermination(min(1.0, left or 1.0))
+        ended = {query.name: not query.isActive for query in queries}
+    finally:
+        for query in queries:
+            query.stop()
+    failures = {query.name: str(query.exception()) for query in queries if query.exception()}
+    if failures:
+        raise RunFailed(failures)
+    return ended
+
+
+def snapshot_writer(path: str, keep: int | None = None, compact: int | None = None) -> BatchWriter:
+    """Per-batch function that commits each trigger's rows to the ``SnapshotTable`` under ``path``.
 
-    A batch may be handed over again after a failure; it then replaces its own rows.
+    A batch may be handed over again after a failure; it then replaces its own rows. All epochs are
+    kept in folders of their own unless ``keep`` or ``compact`` says otherwise.
     """
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/epoch_id={epoch_id}")
+        SnapshotTable(batch.sparkSession, path, keep, compact).commit(batch, epoch_id)
 
     return write
 
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    snapshots = spark.read.option("basePath", path).parquet(path)
-    return snapshots.withColumn("epoch_id", F.col("epoch_id").cast("bigint"))
+    """All committed snapshots, with ``epoch_id``."""
+    return SnapshotTable(spark, path).read()
 
 
-def latest_snapshot(snapshots: DataFrame) -> DataFrame:
-    """Rows of the last trigger only; the others' files are not read."""
-    last = snapshots.agg(F.max("epoch_id")).scalar()
-    return snapshots.where(F.col("epoch_id") == last).drop("epoch_id")
+def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of the last trigger only; the files of the others are not opened."""
+    return SnapshotTable(spark, path).latest()
 
 
 def result_writer(

@@ -11,7 +11,7 @@ from workload import mirror
 from workload.queries import REGISTERED
 
 SF_DIR = "/root/testdata/sf0.001"
-STREAMS = {"add_source", "concurrent_queries", "live_counts"}
+STREAMS = {"add_source", "concurrent_queries", "live_counts", "replayed_messages"}
 
 
 def plan(df):
@@ -76,3 +76,17 @@ def test_the_log_itself_is_not_shuffled(spark):
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
     many = [f"t{n}_query" for n in range(10_001)]
     assert "BroadcastHashJoin" in plan(results.readable(log, many))
+
+
+BROKER_LOG = "topic string, partition int, offset bigint, timestamp timestamp, value string"
+
+
+@pytest.mark.parametrize("order", [("offset",), ("timestamp", "partition", "offset")])
+def test_the_latest_message_is_found_without_its_text(spark, tmp_path, order):
+    path = str(tmp_path / "log")
+    spark.createDataFrame([], BROKER_LOG).write.parquet(path)
+    text = plan(results.latest(spark.read.parquet(path), order))
+    assert "Sort" not in text and "ObjectHash" not in text
+    assert text.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in text
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    assert len(schemas) == 2 and sum("value:" in schema for schema in schemas) == 1

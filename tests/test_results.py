@@ -89,6 +89,16 @@ def test_latest_message_over_several_partitions(spark):
     assert answers(results.latest(log, order).select("topic", "value")) == {"t": "c", "u": "d"}
 
 
+def test_latest_message_of_a_broker(spark):
+    order = ("timestamp", "partition", "offset")
+    rows = [("t", "2024-01-01 00:00:00.000001", 9, 2**40, "a"), ("t", "2024-01-01 00:00:00.000002", 99_999, 5, "c"),
+            ("t", "2024-01-01 00:00:00.000002", 99_998, 999_999_999_999_999, "b"), ("u", "9999-12-31 23:59:59", 1, 0, "d"),
+            ("v", "1969-12-31 23:59:59", 1, 1, "f"), ("v", "1969-12-31 23:59:59", 1, 0, "e")]
+    log = spark.createDataFrame(rows, "topic string, time string, partition int, offset bigint, value string")
+    log = log.withColumn("timestamp", F.col("time").cast("timestamp"))
+    assert answers(results.latest(log, order).select("topic", "value")) == {"t": "c", "u": "d", "v": "f"}
+
+
 GOOD = '{"kingdom":[],"species":1,"source_count":1,"source_name":"GBIF"}'
 BAD = [
     "not json", "", None, "[1]", "null", '{"kingdom": [', '{"species":"x"}', "{}", GOOD + " junk", GOOD + GOOD,

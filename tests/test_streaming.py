@@ -66,8 +66,9 @@ def batch_core(sent):
     return core_records(decode_value(sent))
 
 
-def last_epoch(snapshots):
-    return snapshots.agg(F.max("epoch_id")).first()[0], sinks.latest_snapshot(snapshots)
+def last_epoch(spark, path):
+    epochs = sinks.read_snapshots(spark, path).agg(F.max("epoch_id")).first()[0]
+    return epochs, sinks.latest_snapshot(spark, path)
 
 
 def test_stream_equals_batch_over_several_batches(spark, sent, stream, tmp_path):
@@ -75,7 +76,7 @@ def test_stream_equals_batch_over_several_batches(spark, sent, stream, tmp_path)
     query = jobs.start_kingdom_counts(stream, path, str(tmp_path / "c"), every=None)
     assert sinks.run_for(query)
     assert len(query.recentProgress) == 6
-    last, counts = last_epoch(sinks.read_snapshots(spark, path))
+    last, counts = last_epoch(spark, path)
     assert last == 5
     assert rows(counts) == rows(aggregates.kingdom_counts(batch_core(sent)))
 
@@ -95,7 +96,7 @@ def test_exact_stream_equals_batch_and_hands_over_kingdoms_only(spark, sent, str
     query = jobs.start_kingdom_exact(stream, path, str(tmp_path / "c"), every=None)
     sinks.run_for(query)
     snapshots = sinks.read_snapshots(spark, path)
-    last, counts = last_epoch(snapshots)
+    last, counts = last_epoch(spark, path)
     assert last == 5
     assert rows(counts) == rows(aggregates.kingdom_exact(batch_core(sent)))
     # Names stay in the state: it has all of them, and each trigger emits a row per kingdom.
@@ -115,7 +116,7 @@ def test_exact_stream_goes_on_from_its_checkpoint(spark, sent, landed, tmp_path)
         time.sleep(0.05)
     assert not sinks.run_for(first, 0.1)
     sinks.run_for(jobs.start_kingdom_exact(file_by_file(spark, landed), path, checkpoint, every=None))
-    last, counts = last_epoch(sinks.read_snapshots(spark, path))
+    last, counts = last_epoch(spark, path)
     assert last == 5
     assert rows(counts) == rows(aggregates.kingdom_exact(batch_core(sent)))
 
@@ -127,7 +128,7 @@ def test_snapshots_add_up(spark, sent, stream, tmp_path):
     sums = snapshots.groupBy("epoch_id").agg(F.sum("total_records").alias("records"))
     totals = [row["records"] for row in sums.orderBy("epoch_id").collect()]
     assert len(totals) == 6 and totals == sorted(set(totals)) and totals[-1] == sent.count()
-    assert rows(last_epoch(snapshots)[1]) == rows(jobs.category_report(sent))
+    assert rows(last_epoch(spark, path)[1]) == rows(jobs.category_report(sent))
 
 
 def test_a_query_goes_on_from_its_checkpoint(spark, sent, landed, tmp_path):
@@ -139,7 +140,7 @@ def test_a_query_goes_on_from_its_checkpoint(spark, sent, landed, tmp_path):
     assert not sinks.run_for(first, 0.1)
     begun = sinks.read_snapshots(spark, path).agg(F.max("epoch_id")).first()[0]
     sinks.run_for(jobs.snapshot_series(file_by_file(spark, landed), path, checkpoint, every=None))
-    last, report = last_epoch(sinks.read_snapshots(spark, path))
+    last, report = last_epoch(spark, path)
     assert begun <= last == 5
     assert rows(report) == rows(jobs.category_report(sent))
 
@@ -227,7 +228,7 @@ def test_two_named_queries_at_once(spark, sent, landed, tmp_path):
         file_by_file(spark, landed), str(tmp_path / "b"), fmt="memory", name="two_report", every=None
     )
     assert sinks.run_for(first) and sinks.run_for(second)
-    counts = sinks.latest_snapshot(sinks.read_snapshots(spark, path))
+    counts = sinks.latest_snapshot(spark, path)
     assert counts.agg(F.sum("count")).first()[0] == sent.count()
     assert spark.table("two_report").agg(F.sum("total_records")).first()[0] == sent.count()
 

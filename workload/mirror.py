@@ -179,6 +179,23 @@ def document_pages(documents: DataFrame, source: str) -> DataFrame:
     return documents.select("doc_id", F.to_json(envelope).alias("page"))
 
 
+# Records of a page that is made of events.
+PAGE_RECORDS = 50
+
+
+def event_pages(events: DataFrame, source: str) -> DataFrame:
+    """One source's events as API pages of neighbouring ones."""
+    fields = [F.col(column).alias(field) for column, field in CORE_FIELDS[source].items()]
+    seen = observations(events).where(F.col("topic") == source)
+    number = F.floor(F.col("event_id") / PAGE_RECORDS).alias("number")
+    paged = seen.groupBy(number).agg(F.collect_list(F.struct(*fields)).alias("records"))
+    records = F.col("records")
+    if source == "idigbio":
+        records = F.transform(records, lambda record: F.struct(record.alias("data")))
+    envelope = F.struct(records.alias("items" if source == "idigbio" else "results"))
+    return paged.select("number", F.to_json(envelope, {"ignoreNullFields": "false"}).alias("page"))
+
+
 def damaged_pages(documents: DataFrame, source: str) -> DataFrame:
     """``document_pages`` of which most are damaged in one of several ways, by ``doc_id``."""
     records = "items" if source == "idigbio" else "results"

@@ -229,4 +229,9 @@ ORACLE_SQL = {
         FROM ({PAGE_RECORDS}) GROUP BY kingdom
     """,
     "add_source": f"{COUNT_BY_SOURCE} FROM ({OBSERVATIONS}) GROUP BY topic",
+    "replayed_messages": f"""
+        SELECT 'gbif' AS topic, kingdom, count(*) AS count,
+               count(DISTINCT scientific_name) AS distinct_names
+        FROM ({PAGE_RECORDS}) GROUP BY kingdom
+    """,
 }

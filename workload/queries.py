@@ -10,7 +10,7 @@ from fieldtally.functions import source_name
 from fieldtally.operators import aggregates, records, registry, results
 from fieldtally.plans import jobs
 from fieldtally.sources import pages as page_source
-from fieldtally.sources.messages import decode_value, file_stream, read_result_log
+from fieldtally.sources.messages import decode_value, file_stream, read_result_log, unique_messages
 from fieldtally.sources.pages import page_status, unnest_pages
 from fieldtally.streaming import sinks
 from fieldtally.workspace import run_folder
@@ -381,7 +381,7 @@ def stream_kingdom_counts(spark, sf_dir):
         every=None,
     )
     sinks.run_for(query)
-    return sinks.latest_snapshot(sinks.read_snapshots(spark, path))
+    return sinks.latest_snapshot(spark, path)
 
 
 @registered
@@ -412,7 +412,7 @@ def stream_kingdom_exact(spark, sf_dir):
         settings={**sinks.LARGE_STATE, "spark.sql.shuffle.partitions": partitions},
     )
     sinks.run_for(query)
-    return sinks.latest_snapshot(sinks.read_snapshots(spark, path))
+    return sinks.latest_snapshot(spark, path)
 
 
 @registered
@@ -459,9 +459,8 @@ def concurrent_queries(spark, sf_dir):
             every=None,
         ),
     ]
-    for query in running:
-        sinks.run_for(query)
-    counts = sinks.latest_snapshot(sinks.read_snapshots(spark, path))
+    sinks.run_together(spark, running)
+    counts = sinks.latest_snapshot(spark, path)
     by_kingdom = counts.groupBy(F.upper("topic").alias("source")).agg(
         F.sum("count").alias("kingdom_total")
     )
@@ -518,18 +517,23 @@ def stream_produce(spark, sf_dir):
 
 @registered
 def add_source(spark, sf_dir):
-    """Every source is added by its URL, reads its own topic and publishes; then they are merged."""
-    landed, path = run_folder(spark, "landed"), run_folder(spark, "results")
-    sent = mirror.messages(_events(spark, sf_dir)).select("topic", "value")
-    sent.write.partitionBy("topic").parquet(landed)
+    """Every source is added by its URL: its pages are published, counted and its counts published.
+
+    Then the sources' documents are merged.
+    """
+    events, path = _events(spark, sf_dir), run_folder(spark, "results")
     sources = registry.known_sources(spark)
     for name in mirror.TOPICS:
+        landed, sent = run_folder(spark, "pages"), run_folder(spark, "messages")
+        mirror.event_pages(events, name).write.parquet(landed)
         started = jobs.add_source(
             spark,
             f"https://{name}.org/occurrences",
             sources,
             run_folder(spark, "checkpoint"),
-            source={"fmt": "parquet", "path": landed, "schema": "topic string, value binary"},
+            pages=file_stream(spark, landed, "number bigint, page string"),
+            producer={"fmt": "parquet", "options": {"path": sent}, "page_key": ["number"]},
+            source={"fmt": "parquet", "path": sent, "schema": "topic string, value string"},
             sink={"fmt": "parquet", "path": path},
             every=None,
         )
@@ -537,3 +541,25 @@ def add_source(spark, sf_dir):
         sources = started.registry
     log = read_result_log(spark, mirror.TOPICS, "parquet", path=path)
     return results.count_by(results.readable(log, RESULT_TOPICS), "source", sources)
+
+
+@registered
+def replayed_messages(spark, sf_dir):
+    """All pages are published, and every third one a second time; each record is then counted once."""
+    documents, sent = _documents(spark, sf_dir), run_folder(spark, "messages")
+    pages = mirror.document_pages(documents, "gbif")
+    for part in (pages, pages.where(F.col("doc_id") % 3 == 0)):
+        sinks.publish(jobs.page_messages(part, "gbif", page_key=["doc_id"]), "parquet", {"path": sent})
+    counted = run_folder(spark, "kingdom-exact")
+    partitions = str(spark.sparkContext.defaultParallelism)
+    stream = file_stream(spark, sent, "key string, value string, topic string")
+    query = jobs.start_kingdom_exact(
+        unique_messages(stream),
+        counted,
+        run_folder(spark, "checkpoint"),
+        name=_unique("replayed"),
+        every=None,
+        settings={**sinks.LARGE_STATE, "spark.sql.shuffle.partitions": partitions},
+    )
+    sinks.run_for(query)
+    return sinks.latest_snapshot(spark, counted)
