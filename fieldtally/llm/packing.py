@@ -6,7 +6,10 @@ its number of bins certifies it: if the packing needs no more bins, it is final.
 gap keep their full bins and exchange the others, whole bins at a time, with partitions they have not
 met, and are packed again; a repacking counts only if it takes fewer bins.
 
-Defined cases: null text is empty and has only the closing id; repeated rows are documents of their
+After ``rounds`` rounds what is left keeps its bins, certified or not, so that the work is bounded; ``certified``
+tells them apart.
+
+Defined cases: the text of the vocabulary's closing token is that token wherever it stands; null text is empty and has only the closing id; repeated rows are documents of their
 own; an empty table gives no rows; other columns are not looked at.
 """
 
@@ -41,7 +44,7 @@ def pieces(
     last = np.array([closing], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(vocabulary).encode
+        encode = encoder(vocabulary, added=True).encode
         item = TaskContext.get().partitionId() << 40
         for batch in batches:
             rows = []

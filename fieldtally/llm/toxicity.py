@@ -5,10 +5,11 @@ trigrams' embeddings, so unknown spellings are read by their letters. Two gated
 window of words forwards and backwards, attention weighs the states, and a logistic unit scores the
 sum. All overlapping windows of the whole text are scored and the highest counts.
 
-Training rows are a bounded sample, ``SAMPLE_POSITIVE`` and ``SAMPLE_NEGATIVE`` labelled documents
-by the hash of their ids, of each at most ``SAMPLE_WINDOWS`` windows. Labels belong to documents; after
-a start with all windows, each document teaches by its highest one. A fifth of the sample chooses the
-round that is kept.
+Training rows are a bounded sample, by parameters of ``train``: at most ``positives`` and ``negatives``
+labelled documents by the hash of their ids, of each at most ``windows`` windows. Labels belong to documents;
+after two rounds over all windows of the sample, each document teaches by its highest one. A fifth of the
+sample chooses the round that is kept. Words of the vocabulary are in at least ``VOCABULARY_DOCS`` documents of
+the sample, so a small sample is learned by letters alone. Scoring has no bounds: it reads every window.
 
 Defined cases: null and empty texts are scored as an empty window; without labels of both kinds the score is the
 share of label 1 (or 0); a document labelled twice has the higher label; repeated rows get the same score;
@@ -26,7 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLE_POSITIVE, SAMPLE_NEGATIVE, SAMPLE_WINDOWS = 1500, 3000, 12
+#: Bounds of the training sample: documents with label 1 and 0, and windows of each.
+POSITIVES, NEGATIVES, WINDOWS = 1500, 3000, 12
 #: A word of the vocabulary is in at least ``VOCABULARY_DOCS`` documents of the sample.
 VOCABULARY, VOCABULARY_DOCS, TRIGRAMS = 5000, 20, 4096
 WINDOW, STRIDE = 40, 32
@@ -270,7 +272,7 @@ def fit(windows: list[list[str]], labels: np.ndarray, rounds: int = 12, batch: i
                 break
         if epoch < 2:
             chosen = rng.permutation(len(flat))
-            chosen = chosen[~checked[owner[chosen]]][:10_000]
+            chosen = chosen[~checked[owner[chosen]]]
         else:
             order = np.lexsort((logits, owner))
             top = order[np.append(owner[order][1:] != owner[order][:-1], True)]
@@ -295,7 +297,9 @@ def fit(windows: list[list[str]], labels: np.ndarray, rounds: int = 12, batch: i
     return net
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple[list[list[str]], np.ndarray]:
+def sample(
+    docs: DataFrame, labels: DataFrame, label: str, positives: int, negatives: int, windows: int
+) -> tuple[list[list[str]], np.ndarray]:
     """Windows and labels of the bounded sample of labelled documents."""
     rated = (
         labels.select("doc_id", F.col(label).cast("int").alias("rated"))
@@ -304,7 +308,7 @@ def sample(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple[li
     )
     order = F.md5(F.col("doc_id").cast("string"))
     chosen = [
-        row for value, most in ((1, SAMPLE_POSITIVE), (0, SAMPLE_NEGATIVE))
+        row for value, most in ((1, positives), (0, negatives))
         for row in rated.filter(F.col("rated") == value).orderBy(order).limit(most).collect()
     ]
     known = {row["doc_id"]: row["rated"] for row in chosen}
@@ -317,30 +321,37 @@ def sample(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> tuple[li
                 words = words_of(text)
                 starts = windows_of(len(words))
                 rng = np.random.default_rng(zlib.crc32(str(doc_id).encode()))
-                for at in rng.permutation(starts)[:SAMPLE_WINDOWS].tolist():
+                for at in rng.permutation(starts)[:windows].tolist():
                     rows.append((doc_id, " ".join(words[at : at + WINDOW])))
             yield pd.DataFrame(rows, columns=["doc_id", "words"])
 
-    # At most SAMPLE_POSITIVE + SAMPLE_NEGATIVE ids, so the broadcast is bounded; and of each id, however
-    # often it is repeated, at most SAMPLE_WINDOWS windows, so is what comes to the driver.
+    # At most positives + negatives ids, so the broadcast is bounded; and of each id, however
+    # often it is repeated, at most that many windows, so is what comes to the driver.
     own = Window.partitionBy("doc_id").orderBy("words")
     rows = (
         docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
         .mapInPandas(cut, "doc_id long, words string")
-        .withColumn("place", F.row_number().over(own)).filter(F.col("place") <= SAMPLE_WINDOWS)
+        .withColumn("place", F.row_number().over(own)).filter(F.col("place") <= windows)
         .select("doc_id", "words").toPandas()
     )
-    by_doc = {doc_id: sorted(windows) for doc_id, windows in rows.groupby("doc_id")["words"]}
+    by_doc = {doc_id: sorted(own) for doc_id, own in rows.groupby("doc_id")["words"]}
     ordered = sorted(by_doc)
     return [by_doc[d] for d in ordered], np.array([known[d] for d in ordered], np.int64)
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Network | float:
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str = "toxic",
+    positives: int = POSITIVES,
+    negatives: int = NEGATIVES,
+    windows: int = WINDOWS,
+) -> Network | float:
     """A network, or the share of label 1 where the sample has one kind only."""
-    windows, rated = sample(docs, labels, label)
+    texts, rated = sample(docs, labels, label, positives, negatives, windows)
     if len(set(rated.tolist())) < 2:
         return float(rated.mean()) if len(rated) else 0.0
-    return fit(windows, rated)
+    return fit(texts, rated)
 
 
 class Scorer:
