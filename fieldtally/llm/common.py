@@ -59,6 +59,39 @@ def keyed_runs(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFra
         yield held[0] if len(held) == 1 else pd.concat(held, ignore_index=True)
 
 
+def whole_groups(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
+    """Batches, which come sorted by the key, cut anew so that each holds all rows of its groups."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        if batch.empty:
+            continue
+        values = batch[key].to_numpy()
+        if held and held[-1][key].iat[-1] != values[0]:
+            yield held[0] if len(held) == 1 else pd.concat(held, ignore_index=True)
+            held = []
+        cuts = np.flatnonzero(values[1:] != values[:-1])
+        if len(cuts):
+            cut = int(cuts[-1]) + 1
+            yield pd.concat([*held, batch.iloc[:cut]], ignore_index=True)
+            held, batch = [], batch.iloc[cut:]
+        held.append(batch)
+    if held:
+        yield held[0] if len(held) == 1 else pd.concat(held, ignore_index=True)
+
+
+def neighbours(group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of places with the same value of a sorted array, in bounded steps."""
+    n = len(group)
+    if not n:
+        return
+    begins = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+    ends = np.repeat(np.append(begins[1:], n), np.diff(np.append(begins, n)))
+    place, step = np.arange(n), 1
+    while len(place := place[place + step < ends[place]]):
+        yield place, place + step
+        step += 1
+
+
 def dealt(members: DataFrame, keys: DataFrame, ident: str, part_rows: int = PART_ROWS) -> DataFrame:
     """Members of groups (column ``bucket``) as blocks to be compared, sorted by ``block``.
 

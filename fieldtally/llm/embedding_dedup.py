@@ -3,15 +3,20 @@
 A hash turns a vector by three rounds of random signs and fast Hadamard transform and takes the
 nearest signed axis; ``HASHES`` of them make a bucket of a table. With multiprobe, a vector also goes
 to the ``PROBES`` next best buckets of every table as a visitor; pairs in which one is at home are
-compared. Every pair found is verified by its cosine in double precision, and counted only in the
+candidates. Every candidate is verified by its cosine in double precision, and counted only in the
 first table and bucket where it meets.
 
+Vectors are hashed once. Through the buckets go ids and a sketch, the signs of ``SKETCH_BITS`` coordinates of
+the rotated vector. Near vectors differ in few of them: at the threshold in 12 % on average, and in over
+``SKETCH_APART`` with a probability of under 1e-12, so a pair above that is no candidate. Only members with a candidate in their
+bucket get their vector and codes, and are verified there; nothing is emitted for each pair.
+
 Equal vectors of a label are one class with a weight, so copies never make pairs. Large buckets are
 dealt into parts that meet pair by pair: none is capped.
 
 Defined cases: rows whose label or vector is null, whose vector is empty or zero or has a null or
 non-finite component link with nothing and are their own component; vectors of different length are
-not compared; rows that repeat an id count as further vectors; an empty table gives no rows; other
+not compared; rows that repeat an id are vectors of their own, each with its own links; an empty table gives no rows; other
 columns are not looked at.
 """
 
@@ -25,10 +30,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldtally.llm.common import Forest, blocks, components, dealt, written
+from fieldtally.llm.common import components, dealt, neighbours, whole_groups, written
 
 THRESHOLD = 0.93
 TABLES, HASHES, PROBES = 10, 2, 2
+#: Bits of the sketch, most that may differ, and the vectors' length from which rotations are rich enough for it.
+SKETCH_BITS, SKETCH_APART, SKETCH_SIZE = 128, 48, 64
+#: Shorter vectors are padded to this length, or their rotations would be few.
+SMALLEST = 16
+#: Rows that are hashed at a time: their rotations stay in a core's cache.
+STEP_ROWS = 64
 
 
 def usable(vector: Column) -> Column:
@@ -43,14 +54,16 @@ def signs(size: int) -> np.ndarray:
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
-    """Fast Walsh-Hadamard transform of the rows."""
-    n, size = x.shape
+    """Fast Walsh-Hadamard transform along the last axis."""
+    shape, size = x.shape, x.shape[-1]
     step = 1
     while step < size:
-        x = x.reshape(n, size // (2 * step), 2, step)
-        x = np.stack((x[:, :, 0] + x[:, :, 1], x[:, :, 0] - x[:, :, 1]), axis=2)
-        step *= 2
-    return x.reshape(n, size)
+        pairs = x.reshape(-1, size // (2 * step), 2, step)
+        turned = np.empty_like(pairs)
+        np.add(pairs[:, :, 0], pairs[:, :, 1], out=turned[:, :, 0])
+        np.subtract(pairs[:, :, 0], pairs[:, :, 1], out=turned[:, :, 1])
+        x, step = turned, 2 * step
+    return x.reshape(shape)
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -58,82 +71,129 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
-def buckets(vectors: np.ndarray) -> np.ndarray:
-    """For every row and table the home bucket and the probed ones, as numbers."""
+def hashed(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of unit vectors: for every table the home bucket and the probed ones, as numbers; the sketch."""
     n, dim = vectors.shape
-    size = 1 << max(1, (dim - 1).bit_length())
-    padded = np.zeros((n, size))
-    padded[:, :dim] = vectors
-    out = np.empty((n, TABLES, 1 + PROBES), np.int64)
-    rows = np.arange(n)
-    for table in range(TABLES):
-        home = np.zeros(n, np.int64)
-        options, losses = [], []
-        for h in range(HASHES):
-            turned = padded
-            for turn in signs(size)[table, h]:
-                turned = hadamard(turned * turn) / np.sqrt(size)
-            both = np.concatenate((turned, -turned), axis=1)
-            near = np.argpartition(-both, PROBES, axis=1)[:, : PROBES + 1]
-            values = both[rows[:, None], near]
-            order = np.argsort(-values, axis=1, kind="stable")
-            near, values = near[rows[:, None], order], values[rows[:, None], order]
-            factor = (2 * size) ** h
-            home += near[:, 0] * factor
-            # A probe changes one hash of the bucket; the smaller its loss the better.
-            options.append((near[:, 1:] - near[:, :1]) * factor)
-            losses.append(values[:, :1] ** 2 - values[:, 1:] ** 2)
-        change, loss = np.concatenate(options, axis=1), np.concatenate(losses, axis=1)
-        best = np.argsort(loss, axis=1, kind="stable")[:, :PROBES]
-        out[:, table, 0] = home
-        out[:, table, 1:] = home[:, None] + change[rows[:, None], best]
-    return out
-
-
-def _near(block: pd.DataFrame, threshold: float) -> tuple[np.ndarray, ...] | None:
-    """Pairs of a block over the threshold, one of them at home: their vectors, weights and places."""
-    left, right = block["left_part"].iat[0], block["right_part"].iat[0]
+    size = max(SMALLEST, 1 << (dim - 1).bit_length())
+    codes, sketch = np.empty((n, TABLES, 1 + PROBES), np.int64), np.zeros((n, SKETCH_BITS // 64), np.int64)
+    turns = signs(size)
+    for at in range(0, n, STEP_ROWS):
+        x = np.zeros((min(STEP_ROWS, n - at), 1, 1, size))
+        x[:, 0, 0, :dim] = vectors[at : at + STEP_ROWS]
+        for turn in range(3):
+            x = hadamard(x * turns[None, :, :, turn])
+        x /= size**1.5
+        codes[at : at + STEP_ROWS] = _nearest(x, size)
+        if size >= SKETCH_SIZE:
+            bits = x.reshape(len(x), -1)[:, :SKETCH_BITS] > 0
+            sketch[at : at + STEP_ROWS] = np.packbits(bits, axis=1).view(np.int64)
+    return codes, sketch
+
+
+def _nearest(x: np.ndarray, size: int) -> np.ndarray:
+    """Home and probed buckets from rotated vectors (row, table, hash, coordinate)."""
+    # Of an axis and its opposite only the nearer one can be among the few nearest.
+    both = np.abs(x)
+    near = np.argpartition(-both, PROBES, axis=3)[..., : PROBES + 1]
+    values = np.take_along_axis(both, near, axis=3)
+    order = np.argsort(-values, axis=3, kind="stable")
+    near, values = np.take_along_axis(near, order, axis=3), np.take_along_axis(values, order, axis=3)
+    near = near + size * (np.take_along_axis(x, near, axis=3) < 0)
+    factor = (2 * size) ** np.arange(HASHES)[None, None, :, None]
+    home = (near[..., :1] * factor).sum(axis=2)
+    # A probe changes one hash of the bucket; the smaller its loss the better.
+    change = ((near[..., 1:] - near[..., :1]) * factor).reshape(*x.shape[:2], -1)
+    loss = (values[..., :1] ** 2 - values[..., 1:] ** 2).reshape(*x.shape[:2], -1)
+    best = np.argsort(loss, axis=2, kind="stable")[..., :PROBES]
+    return np.concatenate((home, home + np.take_along_axis(change, best, axis=2)), axis=2)
+
+
+def _meeting(block: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of whole blocks that meet there: of the block's two parts, one of them at home."""
+    keys = block[["block", "bucket", "left_part", "right_part"]].to_numpy()
+    group = np.concatenate(([0], np.cumsum((keys[1:] != keys[:-1]).any(axis=1))))
     part, home = block["part"].to_numpy(), block["home"].to_numpy()
-    rows, columns = np.flatnonzero(part == left), np.flatnonzero(part == right)
-    vectors = unit(np.stack(block["vector"].to_numpy()).astype(np.float64))
-    near = vectors[rows] @ vectors[columns].T >= threshold
-    near &= home[rows][:, None] | home[columns][None, :]
-    i, j = np.nonzero(near)
-    i, j = rows[i], columns[j]
-    if left == right:
-        i, j = i[i < j], j[i < j]
-    if not len(i):
-        return None
-    used, local = np.unique(np.concatenate((i, j)), return_inverse=True)
-    return (
-        vectors[used], block["rep"].to_numpy()[used], block["copies"].to_numpy()[used],
-        local[: len(i)], local[len(i) :], int(block["table"].iat[0]), int(block["number"].iat[0]),
-    )
+    across = keys[:, 2] != keys[:, 3]
+    for i, j in neighbours(group):
+        meet = (home[i] | home[j]) & (~across[i] | (part[i] != part[j]))
+        yield i[meet], j[meet]
+
 
+def _live(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Members that have a candidate in their bucket, by sketch."""
+    for block in whole_groups(batches, "block"):
+        sketch = np.stack([block["s0"].to_numpy(), block["s1"].to_numpy()], axis=1).view(np.uint64)
+        live = np.zeros(len(block), bool)
+        for i, j in _meeting(block):
+            near = np.bitwise_count(sketch[i] ^ sketch[j]).sum(axis=1) <= SKETCH_APART
+            live[i[near]] = live[j[near]] = True
+        if live.any():
+            yield block.loc[live, ["block", "bucket", "left_part", "right_part", "part", "class", "home"]]
 
-def _links(found: tuple[np.ndarray, ...], own: np.ndarray) -> pd.DataFrame:
-    """Weights of links and a spanning forest of the pairs whose first meeting is their block."""
-    _, rep, weights, a, b, table, number = found
-    forest, links = Forest(len(rep)), np.zeros(len(rep), np.int64)
+
+def _first(own: np.ndarray, p: np.ndarray, q: np.ndarray, table: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Pairs that meet for the first time in the bucket of that table and number."""
+    a, b = own[p], own[q]
     far = np.iinfo(np.int64).max
-    for at in range(0, len(a), 1 << 18):
-        p, q = a[at : at + (1 << 18)], b[at : at + (1 << 18)]
-        earlier = np.zeros(len(p), bool)
-        for t in range(table + 1):
-            # The buckets of table t where the pair meets: of one's home, the other's any.
-            at_p = (own[q, t] == own[p, t, :1]).any(axis=1)
-            at_q = (own[p, t] == own[q, t, :1]).any(axis=1)
-            if t < table:
-                earlier |= at_p | at_q
-            else:
-                earlier |= np.minimum(np.where(at_p, own[p, t, 0], far), np.where(at_q, own[q, t, 0], far)) != number
-        p, q = p[~earlier], q[~earlier]
-        np.add.at(links, p, weights[q])
-        np.add.at(links, q, weights[p])
-        for x, y in zip(p.tolist(), q.tolist()):
-            forest.join(x, y)
-    roots, linked = forest.roots(), np.flatnonzero(links)
-    return pd.DataFrame({"u": rep[linked], "v": rep[roots[linked]], "links": links[linked]})
+    # Buckets where they meet: of one's home, the other's any.
+    at_a = np.where((b == a[:, :, :1]).any(axis=2), a[:, :, 0], far)
+    at_b = np.where((a == b[:, :, :1]).any(axis=2), b[:, :, 0], far)
+    least = np.minimum(at_a, at_b)
+    first = (least != far).argmax(axis=1)
+    return (first == table) & (least[np.arange(len(p)), first] == number)
+
+
+def _roots(n: int, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Of each place the smallest one it is linked with, directly or through others."""
+    root = np.arange(n)
+    while len(p):
+        low = np.minimum(root[p], root[q])
+        before = root.copy()
+        for x in (p, q):
+            np.minimum.at(root, root[x], low)
+            np.minimum.at(root, x, low)
+        root = root[root]
+        if (root == before).all():
+            break
+    return root
+
+
+def _verified(threshold: float):
+    def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Weights of verified links and a spanning forest of them, for each block."""
+        for block in whole_groups(batches, "block"):
+            lengths = block["vector"].map(len).to_numpy()
+            label = pd.factorize(block["label"])[0]
+            table, number = block["table"].to_numpy(), block["number"].to_numpy()
+            weights, links = block["copies"].to_numpy(), np.zeros(len(block), np.int64)
+            own = np.stack(block["codes"].to_numpy()).reshape(-1, TABLES, 1 + PROBES)
+            unified: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+            place = np.zeros(len(block), np.int64)
+            for length in np.unique(lengths).tolist():
+                some = np.flatnonzero(lengths == length)
+                place[some] = np.arange(len(some))
+                unified[length] = unit(np.stack(block["vector"].iloc[some].to_numpy()).astype(np.float64))
+            joined = []
+            for i, j in _meeting(block):
+                same = (label[i] == label[j]) & (lengths[i] == lengths[j])
+                i, j = i[same], j[same]
+                for length, vectors in unified.items():
+                    of = slice(None) if len(unified) == 1 else lengths[i] == length
+                    p, q = i[of], j[of]
+                    near = np.einsum("ij,ij->i", vectors[place[p]], vectors[place[q]]) >= threshold
+                    p, q = p[near], q[near]
+                    first = _first(own, p, q, table[p], number[p])
+                    p, q = p[first], q[first]
+                    np.add.at(links, p, weights[q])
+                    np.add.at(links, q, weights[p])
+                    joined.append((p, q))
+            if not joined:
+                continue
+            root = _roots(len(block), *(np.concatenate(x) for x in zip(*joined)))
+            linked, names = np.flatnonzero(links), block["class"].to_numpy()
+            yield pd.DataFrame({"u": names[linked], "v": names[root[linked]], "links": links[linked]})
+
+    return links
 
 
 def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -143,69 +203,70 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows = rows.withColumn("usable", F.col("label").isNotNull() & usable(F.col("embedding")))
     plus_zero = F.transform("embedding", lambda x: x + F.lit(0).cast(wide))  # -0 is 0
     marked = rows.withColumn("vector", F.when(F.col("usable"), plus_zero)).drop("embedding")
-    classes = written(
+    grouped = (
         marked.filter("usable and vec_id is not null").groupBy("label", "vector")
-        .agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")),
-        "classes",
+        .agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+        .withColumn("class", F.monotonically_increasing_id())
     )
 
-    def homes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             lengths = batch["vector"].map(len).to_numpy()
             for length in np.unique(lengths):
-                some = batch[lengths == length]
-                vectors = unit(np.stack(some["vector"].to_numpy()).astype(np.float64))
-                numbers = buckets(vectors)
-                for table in range(TABLES):
-                    for probe in range(1 + PROBES):
-                        yield pd.DataFrame({
-                            "label": some["label"], "rep": some["rep"], "copies": some["copies"],
-                            "vector": some["vector"], "table": table, "number": numbers[:, table, probe],
-                            "home": probe == 0,
-                        })
-
-    label = classes.schema["label"].dataType.simpleString()
-    members = classes.mapInPandas(
-        homes, f"label {label}, rep long, copies long, vector array<{wide}>, table int, number long, home boolean"
-    ).withColumn("bucket", F.xxhash64("label", F.size("vector"), "table", "number"))
-
-    def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[tuple] = []
-
-        def out() -> Iterator[pd.DataFrame]:
-            # Buckets of many blocks' vectors at once, by the vectors' length.
-            for length in {f[0].shape[1] for f in held}:
-                some = [f for f in held if f[0].shape[1] == length]
-                numbers = buckets(np.concatenate([f[0] for f in some]))
-                ends = np.cumsum([len(f[0]) for f in some])[:-1]
-                parts = [_links(f, own) for f, own in zip(some, np.split(numbers, ends))]
-                yield pd.concat(parts, ignore_index=True)
-            held.clear()
-
-        for block in blocks(batches):
-            lengths = block["vector"].map(len)
-            keys = [block["label"], lengths, block["table"], block["number"]]
-            same = all((k.to_numpy() == k.iat[0]).all() for k in keys)
-            for group in [block] if same else [g for _, g in block.groupby(keys)]:
-                if len(group) > 1 and (found := _near(group, threshold)) is not None:
-                    held.append(found)
-            if sum(len(f[0]) for f in held) > 4096:
-                yield from out()
-        yield from out()
-
-    pairs = written(
-        dealt(members, members.select("bucket"), "rep").mapInPandas(linked, "u long, v long, links long"), "links"
+                some = batch[lengths == length].reset_index(drop=True)
+                codes, sketch = hashed(unit(np.stack(some["vector"].to_numpy()).astype(np.float64)))
+                some["codes"] = list(codes.reshape(len(some), -1))
+                some["s0"], some["s1"] = sketch[:, 0], sketch[:, 1]
+                yield some
+
+    label = grouped.schema["label"].dataType.simpleString()
+    classes = written(
+        grouped.mapInPandas(
+            coded,
+            f"label {label}, vector array<{wide}>, rep long, copies long, class long, codes array<long>, s0 long, s1 long",
+        ),
+        "classes",
+    )
+    members = classes.select(
+        "class", "label", F.size("vector").alias("length"), "s0", "s1", F.posexplode("codes").alias("place", "number")
+    ).select(
+        F.xxhash64("label", "length", F.floor(F.col("place") / (1 + PROBES)).cast("int"), "number").alias("bucket"),
+        "class", "s0", "s1", (F.col("place") % (1 + PROBES) == 0).alias("home"),
     )
+    live = written(
+        dealt(members, members.select("bucket"), "class").mapInPandas(
+            _live, "block long, bucket long, left_part int, right_part int, part int, class long, home boolean"
+        ),
+        "live",
+    )
+    # The place of a bucket among a member's own codes, of which a repeated number is one place.
+    bucket_of = [
+        F.xxhash64("label", F.size("vector"), F.lit(t), F.get("codes", F.lit(t * (1 + PROBES) + k)))
+        for t in range(TABLES) for k in range(1 + PROBES)
+    ]
+    at = F.array_position(F.array(*bucket_of), F.col("bucket")) - 1
+    fetched = (
+        live.join(classes.drop("rep", "s0", "s1"), "class").withColumn("at", at.cast("int"))
+        .withColumn("table", F.floor(F.col("at") / (1 + PROBES)).cast("int"))
+        .withColumn("number", F.get("codes", F.col("at"))).drop("at")
+        .repartition("block").sortWithinPartitions("block", "bucket", "left_part", "right_part")
+    )
+    pairs = written(fetched.mapInPandas(_verified(threshold), "u long, v long, links long"), "links")
     found = components(pairs.filter("u <> v").select("u", "v"))
     numbers = pairs.groupBy(F.col("u").alias("linked")).agg(F.sum("links").alias("links"))
+    reached = (
+        classes.select("class", "rep", "copies").join(numbers, F.col("class") == F.col("linked"), "left")
+        .join(found, F.col("class") == F.col("node"), "left")
+        .select("class", "rep", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+                F.coalesce("component", "class").alias("component"))
+    )
+    reached = written(reached, "reached")
+    # Components are named by classes here, and in the result by the smallest id of any of their vectors.
+    smallest = reached.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = written(
-        classes.join(numbers, classes["rep"] == numbers["linked"], "left")
-        .join(found, classes["rep"] == found["node"], "left")
-        .select(
-            "label", "vector", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "rep").alias("component_id"),
-        ),
-        "classes",
+        classes.select("class", "label", "vector").join(reached.drop("rep"), "class").join(smallest, "component")
+        .select("label", "vector", "n_links", "component_id"),
+        "named",
     )
     component = F.coalesce("component_id", "vec_id")
     return marked.join(named, ["label", "vector"], "left").select(

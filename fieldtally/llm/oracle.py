@@ -31,26 +31,26 @@ FROM repeated
 """
 
 OP3 = """
-WITH RECURSIVE vectors AS (
-    SELECT vec_id, label, embedding::DOUBLE[] AS x,
+WITH RECURSIVE vectors AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, vec_id, label, embedding::DOUBLE[] AS x,
            label IS NOT NULL AND embedding IS NOT NULL
            AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
            AND len(list_filter(embedding, lambda v: v <> 0)) > 0 AS usable
     FROM embeddings
-), links AS (
-    SELECT a.vec_id AS u, b.vec_id AS v
-    FROM vectors a JOIN vectors b ON a.label = b.label AND a.vec_id <> b.vec_id AND a.usable AND b.usable
+), links AS MATERIALIZED (
+    SELECT a.row AS u, b.row AS v
+    FROM vectors a JOIN vectors b ON a.label = b.label AND a.row <> b.row AND a.usable AND b.usable
     WHERE list_cosine_similarity(a.x, b.x) >= 0.93
 ), reach AS (
-    SELECT vec_id AS node, vec_id AS other FROM embeddings
+    SELECT row AS node, row AS other FROM vectors
     UNION
     SELECT r.node, l.v FROM reach r JOIN links l ON r.other = l.u
 ), components AS (
-    SELECT node, min(other) AS component_id FROM reach GROUP BY node
+    SELECT node, min(vec_id) AS component_id FROM reach JOIN vectors ON other = row GROUP BY node
 )
-SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.u = e.vec_id) AS n_links, c.component_id,
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.u = e.row) AS n_links, c.component_id,
        e.vec_id = c.component_id AS kept
-FROM embeddings e JOIN components c ON c.node = e.vec_id
+FROM vectors e JOIN components c ON c.node = e.row
 """
 
 OP7 = """

@@ -80,6 +80,31 @@ def test_recall_and_no_false_link(spark, monkeypatch, part_rows):
     assert {found[i]["component_id"] for i in range(1200, 1350)} == {0}
 
 
+def test_rows_that_repeat_an_id_have_their_own_links(spark):
+    rows = [(1, [1.0, 0.0, 0.0, 0.0], 1), (1, [0.0, 1.0, 0.0, 0.0], 1), (2, [1.0, 0.01, 0.0, 0.0], 1), (2, [0.0, 0.0, 1.0, 0.0], 1)]
+    found = [tuple(r) for r in embedding_dedup.near_duplicates(table(spark, rows)).collect()]
+    assert sorted(found) == [(1, 0, 1, True), (1, 1, 1, True), (2, 0, 2, True), (2, 1, 1, False)]
+
+
+def test_sketches_lose_no_near_vectors():
+    for dim in (64, 100, 300):
+        vectors = embedding_dedup.unit(crowd(3000, dim, 9).astype(np.float64))
+        sketch = embedding_dedup.hashed(vectors)[1].view(np.uint64)
+        apart = np.bitwise_count(sketch[:3000] ^ sketch[3000:]).sum(axis=1)
+        near = (vectors[:3000] * vectors[3000:]).sum(axis=1) >= 0.93
+        assert apart[near].max() < embedding_dedup.SKETCH_APART - 6
+        assert np.bitwise_count(sketch[:-1] ^ sketch[1:]).sum(axis=1).mean() > 55
+
+
+def test_short_vectors_are_hashed_by_all_axes(spark):
+    for dim in (1, 2, 3, 4, 5):
+        vectors = crowd(60, dim, dim) if dim > 1 else np.linspace(-1, 1, 120, dtype=np.float32)[:, None]
+        rows = [(i, v.tolist(), 1) for i, v in enumerate(vectors)]
+        found = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_duplicates(table(spark, rows)).collect()}
+        links = plain_links(rows, 0.93)
+        assert sum(found.values()) <= 2 * len(links) and sum(found.values()) >= 0.97 * 2 * len(links), dim
+
+
 def test_hadamard_keeps_lengths():
     x = np.random.default_rng(1).normal(size=(5, 16))
     assert np.allclose((embedding_dedup.hadamard(x) ** 2).sum(axis=1), 16 * (x**2).sum(axis=1))
