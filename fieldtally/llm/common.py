@@ -4,12 +4,12 @@ parts, and connected components."""
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from uuid import uuid4
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: More rows of a group than this are dealt into parts, and the parts compared pair by pair.
@@ -41,6 +41,24 @@ def free_name(name: str, df: DataFrame) -> str:
     return name
 
 
+def others(df: DataFrame, *own: str) -> list[str]:
+    """The table's columns but for the names given, which are replaced in any case of letters."""
+    return [c for c in df.columns if c.lower() not in own]
+
+
+def quoted(names: list[str]) -> list[Column]:
+    """Columns by their whole names, whatever signs are in them."""
+    return [F.col(f"`{c.replace('`', '``')}`").alias(c) for c in names]
+
+
+def plainly_named(df: DataFrame, *keep: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The table with plain names for all columns but those of ``keep``, so that none has a name used inside or one that
+    Python functions can't be given; and what puts the names back in a table that begins with these columns."""
+    names = df.columns
+    inner = [c.lower() if c.lower() in keep else f"column_{i}" for i, c in enumerate(names)]
+    return df.toDF(*inner), lambda out: out.toDF(*names, *out.columns[len(names):])
+
+
 def keyed_runs(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
     """Whole groups, one after the other, of batches that come sorted by the key."""
     held: list[pd.DataFrame] = []
@@ -115,11 +133,17 @@ def dealt(members: DataFrame, keys: DataFrame, ident: str, part_rows: int = PART
         .withColumn("right_part", F.greatest("part", "other"))
         .drop("rows", "parts", "other")
         .withColumn("block", F.xxhash64("bucket", "left_part", "right_part"))
-        .repartition("block")
-        .sortWithinPartitions("block", "bucket", "left_part", "right_part")
+        .transform(by_block)
     )
 
 
+def by_block(members: DataFrame) -> DataFrame:
+    """Rows of blocks dealt to as many tasks as the session shuffles to: their work goes by pairs, not by bytes,
+    so small ones are not put together."""
+    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return members.repartition(tasks, "block").sortWithinPartitions("block", "bucket", "left_part", "right_part")
+
+
 def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The blocks that ``dealt`` made; two of one hash are told apart."""
     for run in keyed_runs(batches, "block"):

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldtally.llm.common import components, dealt, neighbours, whole_groups, written
+from fieldtally.llm.common import by_block, components, dealt, neighbours, whole_groups, written
 
 THRESHOLD = 0.93
 TABLES, HASHES, PROBES = 10, 2, 2
@@ -248,8 +248,7 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     fetched = (
         live.join(classes.drop("rep", "s0", "s1"), "class").withColumn("at", at.cast("int"))
         .withColumn("table", F.floor(F.col("at") / (1 + PROBES)).cast("int"))
-        .withColumn("number", F.get("codes", F.col("at"))).drop("at")
-        .repartition("block").sortWithinPartitions("block", "bucket", "left_part", "right_part")
+        .withColumn("number", F.get("codes", F.col("at"))).drop("at").transform(by_block)
     )
     pairs = written(fetched.mapInPandas(_verified(threshold), "u long, v long, links long"), "links")
     found = components(pairs.filter("u <> v").select("u", "v"))

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldtally.llm.common import free_name
+from fieldtally.llm.common import free_name, others, quoted
 
 #: Places of the alphabet: the gap between words, a-z, and the other letters by their code.
 PLACES = 64
@@ -110,19 +110,22 @@ def train(docs: DataFrame) -> dict[str, np.ndarray]:
     """
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: dict[str, np.ndarray] = {}
+        totals: dict[str, np.ndarray] = {}
         for batch in batches:
+            # Of one batch's languages only: at a time there are as many dense counters as it has.
+            counts: dict[str, np.ndarray] = {}
             for text, lang in zip(batch["text"], batch["lang"]):
                 found, n = ngrams(text)
                 if len(found):
                     if lang not in counts:
                         counts[lang] = np.zeros(PLACES**N, np.float64)
                     counts[lang][found] += n
-        if counts:
-            rows = []
             for lang, total in counts.items():
                 found = np.flatnonzero(total)
-                rows.append((lang, np.rint(summed(found, total[found], np.float64)).astype(np.int64)))
+                own = np.rint(summed(found, total[found], np.float64)).astype(np.int64)
+                totals[lang] = totals[lang] + own if lang in totals else own
+        if totals:
+            rows = list(totals.items())
             place = np.tile(np.arange(DIMENSIONS), len(rows))
             yield pd.DataFrame({
                 "lang": np.repeat([k for k, _ in rows], DIMENSIONS), "place": place,
@@ -157,9 +160,10 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray]) -> DataFrame:
             langs[i], scores[i] = names[best], min(1.0, max(0.0, float(cosines[best])))
         return pd.DataFrame({"lang_pred": langs, "score": scores})
 
-    kept = docs.drop("lang_pred", "score")
+    kept = docs.select(quoted(others(docs, "lang_pred", "score")))
     found = free_name("found", kept)
-    return kept.withColumn(found, predict("text")).select(*kept.columns, f"{found}.lang_pred", f"{found}.score")
+    named = kept.withColumn(found, predict("text"))
+    return named.select(*quoted(kept.columns), f"{found}.lang_pred", f"{found}.score")
 
 
 def remainder(column: str, by: int) -> Column:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldtally.llm.common import free_name, written
+from fieldtally.llm.common import others, plainly_named, quoted, written
 
 BLANK = b" \t\n\x0b\x0c\r"
 
@@ -128,11 +128,10 @@ def drop_repeated_lines(
     """
     keys = written(line_keys(docs, min_chars), "line-keys")
     found = written(repeated_keys(keys, min_docs, batches, fan), "repeated-keys")
-    docs = docs.drop("n_lines", "n_dropped")
-    own_gone = free_name("gone", docs)
+    docs, named_back = plainly_named(docs.select(quoted(others(docs, "n_lines", "n_dropped"))), "doc_id", "text")
     gone = (
         keys.join(found, "key").filter(F.col("doc_id") != F.col("last_doc"))
-        .groupBy("doc_id").agg(F.collect_set("key").alias(own_gone))
+        .groupBy("doc_id").agg(F.collect_set("key").alias("gone"))
     )
     schema = T.StructType(
         [*docs.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]
@@ -142,7 +141,7 @@ def drop_repeated_lines(
     def rewrite(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts, lines, drops = [], [], []
-            for text, gone in zip(batch["text"], batch[own_gone]):
+            for text, gone in zip(batch["text"], batch["gone"]):
                 dropped, n = 0, (text.count("\n") if text else 0) + 1
                 if gone is not None and len(gone):
                     keys, kept = set(map(bytes, gone)), []
@@ -160,7 +159,7 @@ def drop_repeated_lines(
             out["n_dropped"] = np.array(drops, dtype=np.int64)
             yield out
 
-    return docs.join(gone, "doc_id", "left").select(*names, own_gone).mapInPandas(rewrite, schema)
+    return named_back(docs.join(gone, "doc_id", "left").select(*names, "gone").mapInPandas(rewrite, schema))
 
 
 def digest(docs: DataFrame) -> DataFrame:

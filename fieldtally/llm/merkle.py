@@ -157,7 +157,7 @@ def _salted(left: DataFrame, right: DataFrame, on: list[str], meet: int, spread:
     salts = max(1, -(-meet // SALT_ROWS))
     if salts > 1:
         left = left.withColumn("salt", F.pmod(F.col(spread), F.lit(salts)))
-        right = right.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+        right = right.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
         on = [*on, "salt"]
     return left.join(right, on, "left").drop("salt")
 

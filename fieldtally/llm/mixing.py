@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldtally.llm.common import written
+from fieldtally.llm.common import others, quoted, written
 
 NULL_SOURCE = ""
 
@@ -82,11 +82,11 @@ def mix(
     source; it is written first, so that Spark sees its size and sends it to the executors only if it
     is small.
     """
-    names = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
+    names = others(docs, "copy", "shuffle_key")
     table = written(rates(docs, weights, power, epochs), "rates")
     # The row travels as one value, so none of its columns can meet a name used here.
     rows = docs.select(
-        F.struct(*names).alias("row"),
+        F.struct(*quoted(names)).alias("row"),
         F.coalesce("source", F.lit(NULL_SOURCE)).alias("source_key"),
         F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("ident"),
     )

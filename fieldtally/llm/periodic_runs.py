@@ -31,13 +31,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldtally.llm.common import others, plainly_named, quoted
+
 #: Shorter periods are scanned directly; four blocks of the first scale.
 LAGS = 32
 BLOCK = LAGS // 4
 #: Words that are searched at a time, unless one document has more.
 SLICE_WORDS = 400_000
 
-RESULT = (("n_runs", T.LongType()), ("start", T.LongType()), ("length", T.LongType()), ("period", T.LongType()), ("runs", T.StringType()))
+RESULT = (
+    ("n_runs", T.LongType()), ("start", T.LongType()), ("length", T.LongType()), ("period", T.LongType()),
+    ("runs", T.StringType()),
+)
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -306,9 +311,7 @@ def collapse_runs(docs: DataFrame, min_words: int = 12) -> DataFrame:
     the one of smallest period; null without any), in words from 0; ``runs``, a line ``start,length,period``
     for each run, by start and period.
     """
-    own = {name for name, _ in RESULT}
-    names = [c for c in docs.columns if c.lower() not in own]
-    docs = docs.select([F.col(f"`{c}`") for c in names])
+    docs, named_back = plainly_named(docs.select(quoted(others(docs, *(name for name, _ in RESULT)))), "text")
     schema = T.StructType([*docs.schema.fields, *(T.StructField(name, kind) for name, kind in RESULT)])
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -332,7 +335,7 @@ def collapse_runs(docs: DataFrame, min_words: int = 12) -> DataFrame:
                     out[name] = pd.Series(values, index=out.index, dtype=as_type)
                 yield out
 
-    return docs.mapInPandas(search, schema)
+    return named_back(docs.mapInPandas(search, schema))
 
 
 def with_planted_runs(docs: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldtally.llm.common import Forest, blocks, components, dealt, written
+from fieldtally.llm.common import Forest, blocks, components, dealt, quoted, written
 
 SEED = 42
 BITS = 64
@@ -154,4 +154,4 @@ def keep_first(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
     """The documents without those of whose component a smaller doc_id stays; of repeated rows all stay."""
     found = near_duplicates(docs, words, radius)
     gone = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(quoted(docs.columns))

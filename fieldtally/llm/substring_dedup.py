@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldtally.llm.common import free_name, run_folder, written
+from fieldtally.llm.common import others, plainly_named, quoted, run_folder, written
 
 #: Bytes of text in a unit, unless one document has more.
 UNIT_BYTES = 4 << 20
@@ -300,13 +300,13 @@ def _ids(docs: pd.DataFrame, name: str) -> np.ndarray:
     return np.array([_FIRST_ID if pd.isna(i) else int(i) for i in docs[name]], dtype=np.int64)
 
 
-def in_units(docs: DataFrame, unit: str, place: str) -> DataFrame:
+def in_units(docs: DataFrame) -> DataFrame:
     """The documents as a written table, bucketed by ``unit``; ``place`` is their number within it.
 
     Tasks cut their documents into units as they come; nothing is shuffled.
     """
     names = docs.columns
-    schema = T.StructType([*docs.schema.fields, T.StructField(unit, T.LongType()), T.StructField(place, T.IntegerType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField("unit", T.LongType()), T.StructField("place", T.IntegerType())])
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, size, count = TaskContext.get().partitionId() << 32, 0, 0
@@ -320,14 +320,14 @@ def in_units(docs: DataFrame, unit: str, place: str) -> DataFrame:
                 places.append(count)
                 size, count = size + length, count + 1
             out = batch[names].copy()
-            out[unit], out[place] = np.array(units, dtype=np.int64), np.array(places, dtype=np.int32)
+            out["unit"], out["place"] = np.array(units, dtype=np.int64), np.array(places, dtype=np.int32)
             yield out
 
     spark = docs.sparkSession
     buckets = max(1, docs.rdd.getNumPartitions())
     name = f"units_{uuid4().hex}"
     (
-        docs.mapInPandas(cut, schema).write.format("parquet").bucketBy(buckets, unit)
+        docs.mapInPandas(cut, schema).write.format("parquet").bucketBy(buckets, "unit")
         .option("path", run_folder(spark, "units")).option("compression", "zstd").saveAsTable(name)
     )
     return spark.table(name)
@@ -338,10 +338,9 @@ def drop_repeats(docs: DataFrame, words: int = 20) -> DataFrame:
 
     Further columns: ``n_words`` before and ``n_removed``; the words that stay are joined by one space.
     """
-    docs = docs.select([F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("n_words", "n_removed")])
-    unit, place = free_name("unit", docs), free_name("unit_place", docs)
-    units = in_units(docs, unit, place)
-    own = units.select(F.col(f"`{unit}`").alias("unit"), F.col(f"`{place}`").alias("place"), "doc_id", "text")
+    docs, named_back = plainly_named(docs.select(quoted(others(docs, "n_words", "n_removed"))), "doc_id", "text")
+    units = in_units(docs)
+    own = units.select("unit", "place", "doc_id", "text")
     total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-int(total) * CELLS_PER_WINDOW // (WORD_BYTES * CELLS)))
 
@@ -374,8 +373,7 @@ def drop_repeats(docs: DataFrame, words: int = 20) -> DataFrame:
     def rewrite(group: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if group.empty:
             return pd.DataFrame([], columns=schema.names)
-        group = group.sort_values(place)
-        found = Windows(group["text"].tolist(), words)
+        group, found = windows(group)
         chosen, questions = asking(group, found, answers)
         change = np.zeros(len(found.starts) + 1, dtype=np.int64)
         gone = found.at[chosen[questions.removed(answers)]]
@@ -395,4 +393,4 @@ def drop_repeats(docs: DataFrame, words: int = 20) -> DataFrame:
         return out
 
     answers = often.unionByName(firsts)
-    return units.groupBy(f"`{unit}`").cogroup(answers.groupBy("unit")).applyInPandas(rewrite, schema)
+    return named_back(units.groupBy("unit").cogroup(answers.groupBy("unit")).applyInPandas(rewrite, schema))

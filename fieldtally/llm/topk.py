@@ -13,7 +13,8 @@ task prunes from the beginning, whatever its share.
 Defined cases: vectors that are null or empty or have a null or non-finite component take no part;
 ties go to the smaller id; a query's own id is no candidate, rows that repeat another id are
 candidates each, and a repeated query is asked once; vectors are compared with those of their length; fewer than k candidates are all
-returned; an empty table gives no rows; other columns are not looked at.
+returned; an empty table gives no rows; other columns are not looked at. Scores are 64-bit numbers: a product
+beyond them, which takes components of over a hundred million, fails the query.
 """
 
 from __future__ import annotations
@@ -38,10 +39,34 @@ def whole(vectors: list) -> np.ndarray:
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of whole rows, exact: in doubles where they hold every sum."""
-    if a.size and b.size and np.abs(a).max() * np.abs(b).max() * a.shape[1] < 2**53:
+    """Inner products of all whole rows of ``a`` with all of ``b``, exact: in doubles where they hold every sum."""
+    reach = _reach(a, b)
+    if reach < 2**53:
         return (a @ b.T).astype(np.int64)
-    return a.astype(np.int64) @ b.astype(np.int64).T
+    if reach < 2**63:
+        return a.astype(np.int64) @ b.astype(np.int64).T
+    return _as_long(_ints(a) @ _ints(b).T)
+
+
+def row_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of whole rows of ``a`` and ``b`` at the same places, exact."""
+    if _reach(a, b) < 2**63:
+        return np.einsum("nd,nd->n", a.astype(np.int64), b.astype(np.int64))
+    return _as_long((_ints(a) * _ints(b)).sum(axis=1))
+
+
+def _reach(a: np.ndarray, b: np.ndarray) -> float:
+    return np.abs(a).max() * np.abs(b).max() * a.shape[1] if a.size and b.size else 0.0
+
+
+def _ints(rows: np.ndarray) -> np.ndarray:
+    return np.array([[int(x) for x in row] for row in rows.tolist()], dtype=object).reshape(rows.shape)
+
+
+def _as_long(scores: np.ndarray) -> np.ndarray:
+    if any(abs(s) >= 2**63 for s in scores.ravel().tolist()):
+        raise OverflowError("an inner product is beyond 64 bits, in which scores are returned")
+    return scores.astype(np.int64)
 
 
 def best(query: np.ndarray, ident: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
@@ -90,7 +115,7 @@ def search(kept: Kept, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, t
         scores = product(queries[live], rows)[i, j]
     else:
         scores = np.concatenate([
-            np.einsum("nd,nd->n", queries[live[i[a : a + 50_000]]].astype(np.int64), rows[j[a : a + 50_000]].astype(np.int64))
+            row_products(queries[live[i[a : a + 50_000]]], rows[j[a : a + 50_000]])
             for a in range(0, len(i), 50_000)
         ])
     above = scores >= kept.floor[live[i]]
@@ -201,21 +226,30 @@ def top_k(rows: DataFrame, k: int = K) -> DataFrame:
                     search(own, q[at : at + 256], c_ids, c, turns[dim], leads[dim])
                     kept.floor[at : at + 256] = own.floor
                 floor = kept.floor.astype("<f8").tobytes()
-                yield pd.DataFrame([{"dim": dim, "group": run["group"].iat[0], "q_ids": packed["ids"], "q_data": packed["data"], "floor": floor}])
+                # The squared length that a candidate must have to reach any query's floor; none if one has none yet.
+                size = np.sqrt((q * q).sum(axis=1))
+                needed = np.where(kept.floor > 0, kept.floor * (1 - 1e-8) / np.maximum(size, 1e-300), 0).min()
+                yield pd.DataFrame([{
+                    "dim": dim, "group": run["group"].iat[0], "q_ids": packed["ids"], "q_data": packed["data"],
+                    "floor": floor, "needed": float(needed) ** 2 * (1 - 1e-8),
+                }])
 
     packed_queries = written(
         queries.withColumn("group", F.pmod(F.xxhash64("vec_id", F.lit("query")), F.lit(groups)).cast("int"))
         .repartition("group").sortWithinPartitions("group")
-        .mapInPandas(pack_queries, "dim int, group int, q_ids binary, q_data binary, floor binary"),
+        .mapInPandas(pack_queries, "dim int, group int, q_ids binary, q_data binary, floor binary, needed double"),
         "queries",
     )
     n_blocks = candidates.count()
     shares = max(1, -(-n_blocks // SHARE_BLOCKS))
-    # Stated queries against all rows, in blocks: each block of candidates goes to each block of queries.
+    # Stated queries against all rows, in blocks: a block of candidates goes to the blocks of queries that its
+    # longest vector can still matter to, and a block of queries to each share of them.
+    shared = candidates.withColumn("share", F.pmod(F.xxhash64("number", F.lit("share")), F.lit(shares)).cast("int"))
+    wanted = packed_queries.select(F.col("dim").alias("d"), "group", "needed")
+    tasks = packed_queries.drop("needed").withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
     met = (
-        candidates.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-        .join(packed_queries, ["dim", "group"])
-        .withColumn("share", F.pmod(F.xxhash64("number", F.lit("share")), F.lit(shares)).cast("int"))
+        shared.join(wanted, (F.col("dim") == F.col("d")) & (F.col("longest") >= F.col("needed"))).drop("d", "needed")
+        .join(tasks, ["dim", "group", "share"])
         .withColumn("task", F.xxhash64("dim", "group", "share"))
         .repartition("task").sortWithinPartitions("task", "dim", "group", "share", F.col("longest").desc(), "number")
     )

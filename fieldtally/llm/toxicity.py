@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldtally.llm.common import others, quoted
+
 #: Bounds of the training sample: documents with label 1 and 0, and windows of each.
 POSITIVES, NEGATIVES, WINDOWS = 1500, 3000, 12
 #: A word of the vocabulary is in at least ``VOCABULARY_DOCS`` documents of the sample.
@@ -421,7 +423,7 @@ class Scorer:
 
 def score(docs: DataFrame, model: Network | float) -> DataFrame:
     """``docs`` with ``score``, 0 to 1."""
-    kept = docs.drop("score")
+    kept = docs.select(quoted(others(docs, "score")))
     if isinstance(model, float):
         return kept.withColumn("score", F.lit(model))
 

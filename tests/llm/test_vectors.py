@@ -111,7 +111,7 @@ def test_hadamard_keeps_lengths():
 
 
 def plain_top(rows, k=20):
-    good = [(i, np.floor(64 * np.array(v, np.float64)).astype(object)) for i, v, _ in rows
+    good = [(i, np.array([int(x) for x in np.floor(64 * np.array(v, np.float64))], object)) for i, v, _ in rows
             if v and all(x is not None and np.isfinite(x) for x in v)]
     out = set()
     for i, q in good:
@@ -135,6 +135,19 @@ def test_top_k(spark, monkeypatch, sizes):
     assert topk.top_k(table(spark, [])).count() == 0
 
 
+def test_products_beyond_exact_doubles(spark):
+    rng = np.random.default_rng(8)
+    vectors = (rng.normal(size=(60, 4)) * 2e6).astype(np.float32)  # sums of up to 2^57
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(vectors)]
+    assert {tuple(r) for r in topk.top_k(table(spark, rows)).collect()} == plain_top(rows)
+    a, b = np.array([[2.0**62, -(2.0**62), 1.0]]), np.array([[1.0, 1.0, 3.0], [0.5, 0.0, 2.0]])
+    assert topk.product(np.floor(a), np.floor(b)).tolist() == [[3, 2]]
+    assert topk.row_products(np.repeat(a, 2, axis=0), np.floor(b)).tolist() == [3, 2]
+    far = [(0, [1e10] * 4, 1), (1, [1e10] * 4, 1)]
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        topk.top_k(table(spark, far)).collect()
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(0, 300)] + [(1000, 1001 + i) for i in range(500)]
     found = {r["node"]: r["component"] for r in common.components(spark.createDataFrame(edges, "u long, v long")).collect()}
