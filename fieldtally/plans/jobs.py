@@ -179,8 +179,9 @@ def start_live_counts(
     topics: Sequence[str] = SOURCES,
     every: str | None = LIVE_TRIGGER,
     settings: Mapping[str, str] = SMALL_STATE,
+    part_bytes: int | None = None,
 ) -> StreamingQuery:
-    """Publish one result document per source at every trigger.
+    """Publish one result document per source at every trigger, in parts if it is longer than ``part_bytes``.
 
     Kingdom counts and totals come from one query, so a document never mixes two states. The state
     is a count and a sketch of fixed size per kingdom spelling; ``LARGE_STATE`` in ``settings``
@@ -190,7 +191,7 @@ def start_live_counts(
         kingdom_sketches(_core(messages, topics)),
         name,
         checkpoint,
-        foreach_batch=result_writer(fmt, path, options),
+        foreach_batch=result_writer(fmt, path, options, part_bytes),
         every=every,
         settings=settings,
     )

@@ -6,8 +6,10 @@ includes ``topic`` and ``value``.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -89,9 +91,12 @@ def read_result_log(
     servers: Sequence[str] = (),
     path: str | None = None,
     options: Mapping[str, str] | None = None,
+    after: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """Every result message of the named sources from the beginning, as a batch.
 
+    ``after`` names topics of one partition of which only the messages behind an offset are read.
+
     A source that has published nothing yet is skipped. From the broker the columns are ``topic,
     partition, offset, timestamp, value``. A table of results written by ``sinks.result_writer``
     has ``topic, offset, value``.
@@ -100,20 +105,32 @@ def read_result_log(
     if not topics:
         raise ValueError("at least one source is needed")
     if fmt == BROKER:
-        # A list of topics would fail on one that does not exist yet, a pattern passes over it.
-        scan = {
-            **broker_options(servers),
-            "subscribePattern": "|".join(re.escape(topic) for topic in topics),
-            "startingOffsets": "earliest",
-            "endingOffsets": "latest",
-            **(options or {}),
-        }
-        log = spark.read.format(BROKER).options(**scan).load()
+        base = {**broker_options(servers), "endingOffsets": "latest", **(options or {})}
+        known = {topic: {"0": offset + 1} for topic, offset in (after or {}).items() if topic in topics}
+        rest = [topic for topic in topics if topic not in known]
+        scans = []
+        if known:
+            assigned = json.dumps({topic: [0] for topic in known})
+            scans.append({**base, "assign": assigned, "startingOffsets": json.dumps(known)})
+        if rest:
+            # A list of topics would fail on one that does not exist yet, a pattern passes over it.
+            pattern = "|".join(re.escape(topic) for topic in rest)
+            scans.append({"subscribePattern": pattern, "startingOffsets": "earliest", **base})
         value = F.col("value").cast("string").alias("value")
-        return log.select("topic", "partition", "offset", "timestamp", value)
+        logs = [
+            spark.read.format(BROKER).options(**scan).load()
+            .select("topic", "partition", "offset", "timestamp", value)
+            for scan in scans
+        ]
+        return reduce(DataFrame.union, logs)
     schema = "topic string, offset bigint, value string"
     log = spark.read.format(fmt).schema(schema).options(**(options or {})).load(_need(path))
-    return log.where(F.col("topic").isin(topics))
+    # Topic and offset are the table's partitions, so what is not wanted is not opened.
+    wanted = F.lit(False)
+    for topic in topics:
+        own = F.col("topic") == topic
+        wanted = wanted | (own & (F.col("offset") > after[topic]) if topic in (after or {}) else own)
+    return log.where(wanted)
 
 
 def _need(path: str | None) -> str:

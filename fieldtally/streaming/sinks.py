@@ -172,17 +172,22 @@ def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
 
 
 def result_writer(
-    fmt: str = BROKER, path: str | None = None, options: Mapping[str, str] | None = None
+    fmt: str = BROKER,
+    path: str | None = None,
+    options: Mapping[str, str] | None = None,
+    part_bytes: int | None = None,
 ) -> BatchWriter:
     """Per-batch function that turns ``kingdom_sketches`` rows into documents and publishes them.
 
     A broker may receive a document twice after a failure, which leaves the latest one the same. A
     table under ``path`` gets one partition per topic and trigger, the trigger's number as
-    ``offset``; a repeated trigger replaces its own partition.
+    ``offset``; a repeated trigger replaces its own partition. With ``part_bytes`` longer documents are
+    published in parts, the trigger's number as their snapshot.
     """
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        messages = result_messages(build_documents(batch))
+        documents = build_documents(batch, part_bytes=part_bytes, snapshot=F.lit(epoch_id))
+        messages = result_messages(documents)
         if fmt == BROKER:
             publish(messages, BROKER, options)
             return

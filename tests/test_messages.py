@@ -113,6 +113,32 @@ def test_result_log_of_the_broker(spark):
     }
 
 
+class Recorders(Recorder):
+    """A session that remembers the options of every scan."""
+
+    def __init__(self):
+        super().__init__()
+        self.scans = []
+
+    def options(self, **options):
+        self.scans.append(options)
+        return self
+
+    def union(self, other):
+        return self
+
+
+def test_new_messages_of_the_broker(spark, monkeypatch):
+    asked = Recorders()
+    monkeypatch.setattr("fieldtally.sources.messages.DataFrame", Recorders)
+    read_result_log(asked, ["gbif", "obis"], servers=["a:1"], after={"obis_query": 41})
+    base = {"kafka.bootstrap.servers": "a:1", "endingOffsets": "latest"}
+    assert asked.scans == [
+        {**base, "assign": '{"obis_query": [0]}', "startingOffsets": '{"obis_query": {"0": 42}}'},
+        {**base, "subscribePattern": "gbif_query", "startingOffsets": "earliest"},
+    ]
+
+
 def test_publish_to_the_broker():
     recorder = Recorder()
     publish(recorder, options=broker_options(["a:1"]))

@@ -7,9 +7,10 @@ All of it is derived by Spark, row by row, and works on batch and streaming fram
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from fieldtally.operators.results import build_documents, result_messages
-from fieldtally.schemas import CORE_FIELDS
+from fieldtally.schemas import CORE_FIELDS, schema_for
 from fieldtally.sources.messages import file_stream
 
 # Fixed values, the same as in ``oracle.OBSERVATIONS``.
@@ -140,6 +141,55 @@ def _obis_record() -> list[Column]:
     ]
 
 
+def filled_messages(events: DataFrame, source: str) -> DataFrame:
+    """Every event as a record of one source with a value in every field of its schema.
+
+    The same values as in ``oracle.filled_fields``: made from the event's number and the field's place.
+    """
+    record = StructType.fromDDL(schema_for(source))
+    values = [
+        filled_value(field.dataType.simpleString(), place).alias(field.name)
+        for place, field in enumerate(record.fields)
+    ]
+    return events.select(F.to_json(F.struct(*values)).alias("value"))
+
+
+def filled_value(kind: str, place: int) -> Column:
+    number = F.col("event_id") + place
+
+    def text(letter: str) -> Column:
+        return F.concat(F.lit(f"{letter}{place}-"), F.col("event_id"))
+
+    return {
+        "string": lambda: text("s"),
+        "int": lambda: (number % 1_000_000).cast("int"),
+        "double": lambda: number / F.lit(4.0),
+        "boolean": lambda: number % 2 == 0,
+        "array<string>": lambda: F.array(text("a"), text("b")),
+        "array<struct<identifier:string>>": lambda: F.array(F.struct(text("i").alias("identifier"))),
+        "map<string,string>": lambda: F.create_map(F.lit("key"), text("m")),
+        "map<string,struct<gid:string,name:string>>": lambda: F.create_map(
+            F.lit("level0"), F.struct(text("g").alias("gid"), text("n").alias("name"))
+        ),
+    }[kind]()
+
+
+def field_sum(kind: str, field: Column) -> Column:
+    """A field's value as a number to be added up."""
+    text = {
+        "string": lambda: field,
+        "array<string>": lambda: F.array_join(field, ","),
+        "array<struct<identifier:string>>": lambda: F.array_join(field["identifier"], ","),
+        "map<string,string>": lambda: field["key"],
+        "map<string,struct<gid:string,name:string>>": lambda: F.concat_ws(
+            ",", field["level0"]["gid"], field["level0"]["name"]
+        ),
+    }
+    if kind in text:
+        return F.conv(F.substring(F.md5(text[kind]().cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return (field * 4 if kind == "double" else field).cast("int" if kind == "boolean" else "bigint").cast("bigint")
+
+
 def _core_json(source: str) -> Column:
     fields = [F.col(column).alias(field) for column, field in CORE_FIELDS[source].items()]
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})

@@ -1,5 +1,7 @@
 """SQL over the driver's tables, read straight from their columns without any JSON."""
 
+from fieldtally.schemas import schema_for
+
 # Fixed values, the same as in ``mirror.observations``.
 OBSERVATIONS = """
     SELECT CASE user_id % 3 WHEN 0 THEN 'gbif' WHEN 1 THEN 'idigbio' ELSE 'obis' END AS topic,
@@ -63,7 +65,49 @@ SOURCE_NAME = (
     "split_part(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)', 1), '.', 1)"
 )
 
+def filled_fields(source: str) -> str:
+    """One row per field of a source: the same values as in ``mirror.filled_value``, added up."""
+
+    def text(letter: str, place: int) -> str:
+        return f"('{letter}{place}-' || event_id)"
+
+    def digest(text: str) -> str:
+        return f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)"
+
+    rows = []
+    for place, line in enumerate(schema_for(source).strip().splitlines()):
+        name, kind = line.strip().rstrip(",").split(" ", 1)
+        number = f"(event_id + {place})"
+        value = {
+            "string": lambda: digest(text("s", place)),
+            "int": lambda: f"{number} % 1000000",
+            "double": lambda: number,
+            "boolean": lambda: f"CAST({number} % 2 = 0 AS BIGINT)",
+            "array<string>": lambda: digest(f"{text('a', place)} || ',' || {text('b', place)}"),
+            "array<struct<identifier:string>>": lambda: digest(text("i", place)),
+            "map<string,string>": lambda: digest(text("m", place)),
+            "map<string,struct<gid:string,name:string>>": lambda: digest(
+                f"{text('g', place)} || ',' || {text('n', place)}"
+            ),
+        }[kind.replace(" ", "")]()
+        name = name.strip("`")
+        rows.append(
+            f"SELECT '{name}' AS field, count(*) AS filled, CAST(sum({value}) AS BIGINT) AS total FROM events"
+        )
+    return " UNION ALL ".join(rows)
+
+
 ORACLE_SQL = {
+    "all_fields_gbif": filled_fields("gbif"),
+    "all_fields_idigbio": filled_fields("idigbio"),
+    "all_fields_obis": filled_fields("obis"),
+    "count_by_kingdom_followed": f"""
+        SELECT coalesce(kingdom, 'Title Unavailable') AS kingdom, count(*) AS count
+        FROM ({LAST_DAY}) GROUP BY 1
+    """,
+    "count_by_kingdom_in_parts": """
+        SELECT coalesce(p_name, 'Title Unavailable') AS kingdom, count(*) AS count FROM part GROUP BY 1
+    """,
     "parse_core": f"""
         SELECT topic, kingdom, scientific_name AS "scientificName" FROM ({OBSERVATIONS})
     """,

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fieldtally.functions import source_name
 from fieldtally.operators import aggregates, records, registry, results
 from fieldtally.plans import jobs
+from fieldtally.plans.reading import FollowedResults
 from fieldtally.sources import pages as page_source
 from fieldtally.sources.messages import decode_value, file_stream, read_result_log, unique_messages
 from fieldtally.sources.pages import page_status, unnest_pages
@@ -108,6 +109,35 @@ def parse_full_obis(spark, sf_dir):
     )
 
 
+def _all_fields(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    """Of every field of a source's records, in how many it has a value, and the sum of all values."""
+    full = records.parse_records(mirror.filled_messages(_events(spark, sf_dir), source), source)
+    sums = [
+        F.struct(
+            F.lit(field.name).alias("field"),
+            mirror.field_sum(field.dataType.simpleString(), F.col(f"`{field.name}`")).alias("value"),
+        )
+        for field in full.schema.fields
+    ]
+    values = full.select(F.inline(F.array(*sums)))
+    return values.groupBy("field").agg(F.count("value").alias("filled"), F.sum("value").alias("total"))
+
+
+@registered
+def all_fields_gbif(spark, sf_dir):
+    return _all_fields(spark, sf_dir, "gbif")
+
+
+@registered
+def all_fields_idigbio(spark, sf_dir):
+    return _all_fields(spark, sf_dir, "idigbio")
+
+
+@registered
+def all_fields_obis(spark, sf_dir):
+    return _all_fields(spark, sf_dir, "obis")
+
+
 @registered
 def union_sources(spark, sf_dir):
     decoded = decode_value(mirror.messages(_events(spark, sf_dir)))
@@ -279,6 +309,10 @@ def document_counts(spark, sf_dir):
 # Result log
 
 
+# Bytes of the documents that are published in parts.
+PART_BYTES = 4096
+
+
 def _readable(spark: SparkSession, log: DataFrame) -> DataFrame:
     """The readable part of a log that is published first and then read back.
 
@@ -341,6 +375,38 @@ def count_by_source_active(spark, sf_dir):
     return _count_by(spark, sf_dir, "source", idle="idigbio")
 
 
+@registered
+def count_by_kingdom_followed(spark, sf_dir):
+    """As ``count_by_kingdom``, of a log that is read in two steps, each of what is new."""
+    events = _events(spark, sf_dir)
+    path = run_folder(spark, "results")
+    daily = mirror.daily_results(events)
+    first = F.dayofmonth(F.date_from_unix_date(F.col("offset").cast("int"))) <= 15
+    followed = FollowedResults(spark, mirror.TOPICS, run_folder(spark, "followed"))
+    for part in (first, ~first):
+        daily.where(part).write.mode("append").partitionBy("topic", "offset").parquet(path)
+        log = followed.advance("parquet", path=path)
+    return results.count_by(log, "kingdom", mirror.event_registry(events))
+
+
+@registered
+def count_by_kingdom_in_parts(spark, sf_dir):
+    """Part names as kingdoms: so many that a document is published in parts, and merged from them."""
+    parts = mirror.table(spark, sf_dir, "part")
+    topic = F.get(F.array(*map(F.lit, mirror.TOPICS)), (F.col("p_partkey") % 3).cast("int"))
+    core = parts.select(
+        topic.alias("topic"), F.col("p_name").alias("kingdom"), F.col("p_type").alias("scientificName")
+    )
+    path = run_folder(spark, "results")
+    write = sinks.result_writer("parquet", path, part_bytes=PART_BYTES)
+    write(aggregates.kingdom_sketches(core), 0)
+    log = read_result_log(spark, mirror.TOPICS, "parquet", path=path)
+    sources = registry.known_sources(spark)
+    for name in mirror.TOPICS:
+        sources = registry.mark_started(sources, name)
+    return results.count_by(results.readable(log, RESULT_TOPICS), "kingdom", sources, parts=True)
+
+
 # Registry
 
 
