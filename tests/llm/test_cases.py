@@ -1,0 +1,219 @@
+"""Defined cases that all document operators and all stages share, and plain versions of the two classifiers."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from fieldtally.llm import (
+    language_id,
+    line_dedup,
+    merkle,
+    mixing,
+    packing,
+    periodic_runs,
+    simhash,
+    substring_dedup,
+    token_counts,
+    tokens,
+    toxicity,
+)
+from tests.llm.helpers import documents
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+LABELS = "doc_id long, quality int, toxic int"
+PROTOTYPES = {"en": np.ones(language_id.DIMENSIONS)}
+NETWORK = toxicity.Network(["w1", "w2"])
+
+
+def counted(docs):
+    return token_counts.count_tokens(token_counts.corpus_blocks(docs), tokens.encoder().end)
+
+
+def proved(docs):
+    proofs = merkle.prove(docs, merkle.leaf_hash([F.col(c) for c in merkle.FIELDS]), carry=[F.col("doc_id").alias("id")])
+    return merkle.verified(proofs, "leaf")
+
+
+#: Operators, and whether their result has one row for each row they are given.
+OPERATORS = {
+    "mixing": (mixing.mix, False),
+    "language": (lambda docs: language_id.identify(docs, PROTOTYPES), True),
+    "toxicity": (lambda docs: toxicity.score(docs, NETWORK), True),
+    "simhash": (simhash.near_duplicates, True),
+    "keep_first": (simhash.keep_first, False),
+    "line_dedup": (line_dedup.drop_repeated_lines, True),
+    "token_counts": (counted, False),
+    "packing": (packing.pack_documents, False),
+    "substring_dedup": (substring_dedup.drop_repeats, True),
+    "merkle": (proved, True),
+    "periodic_runs": (periodic_runs.collapse_runs, True),
+}
+#: Those whose result holds the columns they are given.
+THROUGH = ["mixing", "language", "toxicity", "keep_first", "line_dedup", "substring_dedup", "periodic_runs"]
+
+
+@pytest.mark.parametrize("name", sorted(OPERATORS))
+def test_empty_table(spark, name):
+    assert OPERATORS[name][0](spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+@pytest.mark.parametrize("name", sorted(OPERATORS))
+def test_rows_of_nulls_and_repeated_rows(spark, name):
+    operator, one_each = OPERATORS[name]
+    rows = [(None,) * 5] * 3 + [(1, None, None, None, None)] * 2 + [(2, "", "", "", 0)] * 2 + [(3, "one text " * 9, "en", "s", 81)] * 4
+    found = operator(spark.createDataFrame(rows, SCHEMA).repartition(2)).collect()
+    if one_each:
+        assert len(found) == len(rows)
+    elif name == "token_counts":
+        assert len(found) == 8  # rows without doc_id are left out
+    elif name == "packing":
+        assert len(found) == len(rows) and sum(r["length"] for r in found) == 7 + 4 * len(tokens.encoder().encode("one text " * 9) + b"1234") // 4
+    elif name == "keep_first":
+        # Null and empty texts share the fingerprint zero: of the ids 1 and 2 the first stays.
+        assert {r["doc_id"] for r in found} == {None, 1, 3}
+
+
+@pytest.mark.parametrize("name", THROUGH)
+def test_columns_of_any_name_go_through(spark, name):
+    docs = spark.createDataFrame([(1, "some text", "en", "s", 9)], SCHEMA)
+    names = ["a.b", "Key", "gone", "found", "unit", "place", "row", "index", "bucket", "Row2", "ü x"]
+    for n in names:
+        docs = docs.withColumn(n, F.lit(n))
+    own = ["copy", "shuffle_key", "lang_pred", "score", "n_lines", "n_dropped", "n_words", "n_removed", "n_runs", "start",
+           "length", "period", "runs"]
+    clashing = docs
+    for n in own:
+        clashing = clashing.withColumn(n.upper(), F.lit(f"old {n}"))
+    out = OPERATORS[name][0](clashing)
+    assert len({c.lower() for c in out.columns}) == len(out.columns)
+    assert set(docs.columns) <= set(out.columns)
+    for row in out.collect():
+        values = row.asDict()
+        assert all(values[n] == n for n in names)
+    out.write.format("noop").mode("overwrite").save()
+
+
+def tables(spark, tmp_path, rows, labels):
+    path = str(tmp_path / "sf")
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, LABELS).write.parquet(f"{path}/labels.parquet")
+    return path
+
+
+NULLS = [(None,) * 5] * 3 + [(i, None, None, None, None) for i in range(4)]
+COPIES = [(i, "the same line of some text that is long\nand another line " * 3, "en", "s", 174) for i in (1, 2, 3, 3, 3)]
+
+
+@pytest.mark.parametrize("rows", [[], NULLS, COPIES], ids=["none", "nulls", "copies"])
+@pytest.mark.parametrize("labelled", [[], [(1, 0, 0), (2, None, None), (None, 1, 1)]], ids=["unlabelled", "labelled"])
+def test_stages_and_pipeline(spark, tmp_path, rows, labelled):
+    path = tables(spark, tmp_path, rows, labelled)
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, path)
+        assert after.columns == docs.columns and after.dtypes == docs.dtypes, name
+        assert after.count() <= len(rows) or name == "mixing"
+        after.write.parquet(written := corpus_pipeline.run_folder(spark, "case"))
+        docs = spark.read.parquet(written)
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, path)
+    assert pieces.count() == docs.count()
+    assert corpus_pipeline.run(spark, path).columns == pieces.columns
+    if rows is COPIES:
+        kept = simhash.keep_first(spark.read.parquet(f"{path}/documents.parquet")).select("doc_id").distinct().collect()
+        assert [r["doc_id"] for r in kept] == [1]
+
+
+# --- Language identification, one letter at a time ----------------------------------------------------
+
+def plain_vector(text):
+    """The sum of all n-grams' vectors, each bound letter by letter."""
+    letters = np.random.default_rng(64).choice(np.array([-1, 1]), (language_id.PLACES, language_id.DIMENSIONS))
+
+    def place(c):
+        if not c.isalpha():
+            return 0
+        low = ord(c.lower()[0]) if ord(c) < 1 << 16 else ord(c)
+        return low - 96 if ord(c) < 1 << 16 and 97 <= low <= 122 else 27 + low % (language_id.PLACES - 27)
+
+    framed = [0, *map(place, text or ""), 0]
+    total = np.zeros(language_id.DIMENSIONS)
+    for i in range(1, len(framed) - 1):
+        if framed[i]:
+            vector = np.ones(language_id.DIMENSIONS)
+            for k in range(3):
+                vector *= np.roll(letters[framed[i - 1 + k]], 2 - k)
+            total += vector
+    return total
+
+
+def test_languages_against_plain_sums(spark):
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    rows = [(i, t[:400] if t else t, lang) for i, t, lang in rows][:120]
+    rows += [(9001, "Ünïcödé ßtraße 𝒳𝒴 ǅ", "de"), (9002, "x", None), (9003, "12 34", "en"), (9004, None, "en")]
+    docs = documents(spark, rows)
+    prototypes = {}
+    for _, text, lang in rows:
+        if text is not None and lang is not None:
+            prototypes[lang] = prototypes.get(lang, 0) + plain_vector(text)
+    learned = language_id.train(docs)
+    assert set(learned) == set(prototypes)
+    for lang, vector in prototypes.items():
+        assert np.array_equal(learned[lang], vector)
+    found = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.identify(docs, learned).collect()}
+    for i, text, _ in rows:
+        vector = plain_vector(text)
+        if not any(c.isalpha() for c in text or ""):
+            assert found[i] == ("und", 0.0)
+            continue
+        cosines = {k: v @ vector / (np.linalg.norm(v) * np.linalg.norm(vector)) for k, v in prototypes.items()}
+        best = max(sorted(cosines), key=cosines.get)
+        assert found[i][0] == best and math.isclose(found[i][1], max(0, cosines[best]), abs_tol=1e-5)
+
+
+# --- Toxicity, one window and one word at a time ------------------------------------------------------
+
+def plain_score(net, text):
+    """The highest score of all windows, each read word by word in both directions."""
+    words = toxicity.words_of(text)
+    size = toxicity.HIDDEN
+    features = [net.features([w])[0][0] for w in words]
+
+    def states(order, side):
+        h, out = np.zeros(size), {}
+        for i in order:
+            x = features[i] @ net.w[f"x{side}"] + net.w[f"b{side}"]
+            gates = 1 / (1 + np.exp(-(x[: 2 * size] + h @ net.w[f"h{side}"][:, : 2 * size])))
+            z, r = gates[:size], gates[size:]
+            c = np.tanh(x[2 * size :] + (r * h) @ net.w[f"h{side}"][:, 2 * size :])
+            h = h + z * (c - h)
+            out[i] = h
+        return out
+
+    best = -np.inf
+    starts = range(0, max(len(words) - toxicity.WINDOW + toxicity.STRIDE, 1), toxicity.STRIDE)
+    for at in starts:
+        own = range(at, min(at + toxicity.WINDOW, len(words)))
+        forward, backward = states(own, "f"), states(reversed(own), "b")
+        if not len(own):
+            best = max(best, float(net.w["bias"][0]))
+            continue
+        both = np.array([np.concatenate((forward[i], backward[i])) for i in own])
+        weights = np.exp(both @ net.w["att"] - (both @ net.w["att"]).max())
+        best = max(best, float((weights / weights.sum()) @ both @ net.w["out"] + net.w["bias"][0]))
+    return 1 / (1 + np.exp(-best))
+
+
+def test_scores_against_all_windows():
+    rng = np.random.default_rng(21)
+    vocabulary = [f"w{i}" for i in range(30)]
+    net = toxicity.Network(vocabulary, seed=5)
+    for k in net.w:
+        net.w[k] = (net.w[k] * 2 + rng.normal(0, 0.2, net.w[k].shape)).astype(np.float32)
+    texts = [None, "", "!!", "w1", "unknown ünd w2"]
+    texts += [" ".join(rng.choice([*vocabulary, "new", "Wörter", "x1"], n)) for n in (5, 39, 40, 41, 72, 73, 200, 333, 1000)]
+    scores = toxicity.Scorer(net).scores(texts)
+    for text, score in zip(texts, scores):
+        assert math.isclose(score, plain_score(net, text), abs_tol=1e-4), (text or "")[:40]
