@@ -281,11 +281,21 @@ def daily_results(events: DataFrame) -> DataFrame:
     return result_messages(build_documents(counts, keys=day, species=F.max("species")))
 
 
+# Day of the month from which each topic's documents are damaged, and how; the days as in ``oracle.READABLE_DAYS``.
+BROKEN_DAYS = {
+    "gbif": (24, "concat(value, ' and more')"),
+    "idigbio": (27, "translate(value, '\"', '\\'')"),
+    "obis": (20, "substring(value, 1, length(value) - 1)"),
+}
+
+
 def broken_results(events: DataFrame) -> DataFrame:
-    """``daily_results`` where the third source's documents from the 20th of a month are cut."""
-    day = F.date_from_unix_date(F.col("offset").cast("int"))
-    cut = (F.col("topic") == "obis_query") & (F.dayofmonth(day) == 20)
-    value = F.when(cut, F.expr("substring(value, 1, length(value) - 1)")).otherwise(F.col("value"))
+    """``daily_results`` of which each source has damaged ones: cut, followed by text, or in the wrong quotes."""
+    day = F.dayofmonth(F.date_from_unix_date(F.col("offset").cast("int")))
+    value = F.col("value")
+    for source, (broken, damage) in BROKEN_DAYS.items():
+        own = (F.col("topic") == f"{source}_query") & (day == broken)
+        value = F.when(own, F.expr(damage)).otherwise(value)
     return daily_results(events).withColumn("value", value)
 
 

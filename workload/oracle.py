@@ -33,12 +33,12 @@ CATEGORY_COLUMNS = """
 
 CATEGORY_REPORT = f"SELECT {CATEGORY_COLUMNS}, true AS species_within_bound FROM ({OBSERVATIONS}) GROUP BY topic"
 
-# The days of each topic before the 20th's broken document of the third source.
+# The days of each topic before its first damaged document.
 READABLE_DAYS = f"""
     SELECT * FROM ({OBSERVATIONS}) o
-    WHERE topic <> 'obis' OR day_number < coalesce(
-        (SELECT min(day_number) FROM ({OBSERVATIONS}) b
-         WHERE b.topic = 'obis' AND day(b.ts) = 20), 1000000)
+    WHERE day_number < coalesce(
+        (SELECT min(day_number) FROM ({OBSERVATIONS}) b WHERE b.topic = o.topic
+         AND day(b.ts) = CASE o.topic WHEN 'gbif' THEN 24 WHEN 'idigbio' THEN 27 ELSE 20 END), 1000000)
 """
 
 LAST_DAY = f"""
