@@ -6,6 +6,10 @@ numbers to the table of repeats. When a level has ``fan`` runs they are merged i
 next. No key is ever in two runs, so merging is a union, and a key's totals are its one row in the
 runs and its rows among the repeats.
 
+Runs and batches are tables in buckets by key, each bucket one sorted file. A batch is therefore merged with
+a run bucket by bucket: neither is shuffled or sorted for it. What is shuffled is a batch's keys once, when they are
+counted, and a level's runs when they become one.
+
 Defined cases: a null or empty text is one empty line; short lines always stay; a line may repeat
 within a document, which counts once; rows of one doc_id count as documents of their own, and all of
 the largest doc_id keep their lines; a null doc_id's lines
@@ -16,6 +20,9 @@ are not counted and stay; an empty table gives no rows; columns beside ``doc_id`
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
+from uuid import uuid4
 
 import numpy as np
 import pandas as pd
@@ -25,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldtally.llm.common import others, plainly_named, quoted, written
+from fieldtally.workspace import run_folder
 
 BLANK = b" \t\n\x0b\x0c\r"
 
@@ -68,56 +76,88 @@ class LineRuns:
 
     def __init__(self, spark: SparkSession, fan: int = 3):
         self.spark, self.fan = spark, fan
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[DataFrame]] = [[]]
         self.added: list[DataFrame] = []
 
-    def runs(self) -> DataFrame:
-        out = self.spark.createDataFrame([], self.schema)
-        for level in self.levels:
-            for run in level:
-                out = out.unionByName(run)
-        return out
+    def runs(self) -> list[DataFrame]:
+        return [run for level in self.levels for run in level]
 
     def absorb(self, keys: DataFrame) -> None:
         """Take in a batch of ``doc_id, key`` rows."""
-        batch = keys.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("last_doc"))
-        if any(self.levels):
-            batch = written(batch, "batch")
-            runs = self.runs().select("key").hint("merge")
-            self.added.append(written(batch.join(runs, "key", "left_semi"), "repeats"))
-            batch = batch.join(runs, "key", "left_anti")
-        self._add(written(batch.sortWithinPartitions("key"), "run"), 0)
+        counted = keys.groupBy("key").agg(F.count(F.lit(1)).alias("docs"), F.max("doc_id").alias("last_doc"))
+        batch = self._in_buckets(counted.repartition(self.buckets, "key"))
+        runs = self.runs()
+        if runs:
+            with sorted_buckets(self.spark):
+                self.added.append(written(self.repeats(batch, runs), "repeats"))
+                batch = self._in_buckets(self.new_keys(batch, runs))
+        self._add(batch, 0)
+
+    def new_keys(self, batch: DataFrame, runs: list[DataFrame]) -> DataFrame:
+        """The batch's keys that no run holds."""
+        for run in runs:
+            batch = batch.join(run.select("key").hint("merge"), "key", "left_anti")
+        return batch
+
+    def repeats(self, batch: DataFrame, runs: list[DataFrame]) -> DataFrame:
+        """The batch's keys that a run holds; none is in two."""
+        return reduce(
+            DataFrame.unionByName, [batch.join(run.select("key").hint("merge"), "key", "left_semi") for run in runs]
+        )
+
+    def _in_buckets(self, rows: DataFrame) -> DataFrame:
+        """Rows that lie in their buckets' partitions already, as a table of sorted buckets."""
+        name = f"run_{uuid4().hex}"
+        (
+            rows.sortWithinPartitions("key").write.format("parquet").bucketBy(self.buckets, "key").sortBy("key")
+            .option("path", run_folder(self.spark, "run")).saveAsTable(name)
+        )
+        return self.spark.table(name)
 
     def _add(self, run: DataFrame, level: int) -> None:
         if level == len(self.levels):
             self.levels.append([])
         self.levels[level].append(run)
         if len(self.levels[level]) == self.fan:
-            merged = self.levels[level][0]
-            for other in self.levels[level][1:]:
-                merged = merged.unionByName(other)
+            merged = reduce(DataFrame.unionByName, self.levels[level])
             self.levels[level] = []
-            self._add(written(merged.repartition("key").sortWithinPartitions("key"), "run"), level + 1)
+            self._add(self._in_buckets(merged.repartition(self.buckets, "key")), level + 1)
 
     def totals(self) -> DataFrame:
         """``key, docs, last_doc`` over all batches."""
-        repeats = self.spark.createDataFrame([], self.schema)
-        for added in self.added:
-            repeats = repeats.unionByName(added)
-        return (
-            self.runs().unionByName(repeats).groupBy("key")
-            .agg(F.sum("docs").alias("docs"), F.max("last_doc").alias("last_doc"))
-        )
+        rows = reduce(DataFrame.unionByName, [*self.runs(), *self.added], self.spark.createDataFrame([], self.schema))
+        return rows.groupBy("key").agg(F.sum("docs").alias("docs"), F.max("last_doc").alias("last_doc"))
+
+
+@contextmanager
+def sorted_buckets(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, plans know that a bucket of one file is sorted as it was written."""
+    name = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def repeated_keys(keys: DataFrame, min_docs: int, batches: int, fan: int) -> DataFrame:
-    """``key, last_doc`` of keys in at least ``min_docs`` documents, found batch by batch."""
+    """``key, last_doc`` of keys in at least ``min_docs`` documents, found batch by batch; ``keys`` has the ``batch``."""
     runs = LineRuns(keys.sparkSession, fan)
     for i in range(batches):
-        runs.absorb(keys.filter(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == i))
+        runs.absorb(keys.filter(F.col("batch") == i).select("doc_id", "key"))
     return runs.totals().filter(F.col("docs") >= min_docs).select("key", "last_doc")
 
 
+def keys_by_batch(docs: DataFrame, min_chars: int, batches: int) -> DataFrame:
+    """The written ``line_keys`` with their ``batch``, which is a folder: each batch is read on its own."""
+    keys = line_keys(docs, min_chars).withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int"))
+    path = run_folder(docs.sparkSession, "line-keys")
+    keys.write.partitionBy("batch").parquet(path)
+    return docs.sparkSession.read.schema(keys.schema).parquet(path)
+
+
 def drop_repeated_lines(
     docs: DataFrame, min_chars: int = 20, min_docs: int = 3, batches: int = 4, fan: int = 3
 ) -> DataFrame:
@@ -126,11 +166,11 @@ def drop_repeated_lines(
     A key of at least ``min_chars`` code points in at least ``min_docs`` documents stays only in the
     largest doc_id that holds it.
     """
-    keys = written(line_keys(docs, min_chars), "line-keys")
+    keys = keys_by_batch(docs, min_chars, batches)
     found = written(repeated_keys(keys, min_docs, batches, fan), "repeated-keys")
     docs, named_back = plainly_named(docs.select(quoted(others(docs, "n_lines", "n_dropped"))), "doc_id", "text")
     gone = (
-        keys.join(found, "key").filter(F.col("doc_id") != F.col("last_doc"))
+        keys.drop("batch").join(found, "key").filter(F.col("doc_id") != F.col("last_doc"))
         .groupBy("doc_id").agg(F.collect_set("key").alias("gone"))
     )
     schema = T.StructType(

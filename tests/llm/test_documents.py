@@ -134,12 +134,26 @@ def test_runs_are_disjoint_and_merged(spark):
         keys = spark.createDataFrame([(i, bytes([k])) for i, k in enumerate(range(b, b + 3))], "doc_id long, key binary")
         runs.absorb(keys)
     assert [len(level) for level in runs.levels] == [1, 1]
-    seen = [bytes(r["key"]) for r in runs.runs().collect()]
+    seen = [bytes(r["key"]) for run in runs.runs() for r in run.collect()]
     assert sorted(seen) == [bytes([k]) for k in range(5)]
     totals = {bytes(r["key"])[0]: (r["docs"], r["last_doc"]) for r in runs.totals().collect()}
     assert totals == {0: (1, 0), 1: (2, 1), 2: (3, 2), 3: (2, 2), 4: (1, 2)}
 
 
+def test_batches_meet_runs_without_shuffle_or_sort(spark):
+    runs = line_dedup.LineRuns(spark, fan=3)
+    for b in range(2):
+        keys = [(i, bytes([b, k])) for i, k in enumerate(range(60))]
+        runs.absorb(spark.createDataFrame(keys, "doc_id long, key binary"))
+    batch = runs._in_buckets(spark.createDataFrame([(bytes([0, 5]), 1, 1)], runs.schema).repartition(runs.buckets, "key"))
+    assert len(runs.runs()) == 2
+    with line_dedup.sorted_buckets(spark):
+        for met in (runs.new_keys(batch, runs.runs()), runs.repeats(batch, runs.runs())):
+            plan = met._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan and "Sort [" not in plan
+        assert runs.new_keys(batch, runs.runs()).count() == 0 and runs.repeats(batch, runs.runs()).count() == 1
+
+
 # --- Mixing ------------------------------------------------------------------------------------------
 
 def test_mix_equals_plain_poisson(spark):
