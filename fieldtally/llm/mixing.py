@@ -3,7 +3,8 @@
 A source's mean repetition is its share of the wanted rows over the rows it has. Each document's
 count is the Poisson quantile of a number that a hash of its id and a seed gives, so it is the same
 wherever and however often it is computed. Documents are repeated by their count and put in the
-order of a second hash, which spreads copies over the whole output.
+order of a second hash, which spreads copies over the whole output. That hash is uniform, so it says by itself which
+partition of the order a row goes to: texts are read and shuffled once, without a look for the ranges first.
 
 Defined cases: null sources and empty ones are one source; weights of absent
 sources are left out of the shares and absent weights count as zero; a null doc_id hashes as the
@@ -98,6 +99,8 @@ def mix(
         .filter(F.col("copies") > 0)
         .select("row", "ident", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
         .withColumn("shuffle_key", hashed(seed, "order", F.col("ident"), F.col("copy")))
-        .orderBy("shuffle_key", "ident", "copy")
     )
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.floor(F.shiftright("shuffle_key", 22) * F.lit(parts) / F.lit(1 << 30)).cast("int")
+    repeated = repeated.repartitionById(parts, place).sortWithinPartitions("shuffle_key", "ident", "copy")
     return repeated.select("row.*", "copy", "shuffle_key")

@@ -172,16 +172,21 @@ def top_k(rows: DataFrame, k: int = K) -> DataFrame:
                 m = np.stack(some["whole"].to_numpy())
                 sums[dim] = sums.get(dim, 0) + m.T @ m
         for dim, gram in sums.items():
-            yield pd.DataFrame({"dim": dim, "place": np.arange(dim * dim), "total": gram.ravel()})
+            yield pd.DataFrame({"dim": dim, "row": np.arange(dim), "total": [r.tobytes() for r in gram]})
 
-    # One number for each pair of coordinates, however many rows there are.
+    def added(group: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum([np.frombuffer(r, "<f8") for r in group["total"]], axis=0)
+        return pd.DataFrame({"dim": group["dim"].iloc[:1], "row": group["row"].iloc[:1], "total": [total.tobytes()]})
+
+    # A matrix for each length of vectors in use, of which tables have few, however many rows there are.
+    gram_row = "dim int, row long, total binary"
     totals = (
-        whole_rows.select("dim", "whole").mapInPandas(grams, "dim int, place long, total double")
-        .groupBy("dim", "place").agg(F.sum("total").alias("total")).toPandas()
+        whole_rows.select("dim", "whole").mapInPandas(grams, gram_row)
+        .groupBy("dim", "row").applyInPandas(added, gram_row).toPandas()
     )
     turns, leads = {}, {}
     for dim, own in totals.groupby("dim"):
-        gram = own.sort_values("place")["total"].to_numpy().reshape(dim, dim)
+        gram = np.stack([np.frombuffer(r, "<f8") for r in own.sort_values("row")["total"]])
         weights, vectors = np.linalg.eigh(gram)
         turns[dim] = np.ascontiguousarray(vectors[:, ::-1])
         shares = np.cumsum(weights[::-1]) / max(weights.sum(), 1e-30)

@@ -161,6 +161,10 @@ def test_mix_equals_plain_poisson(spark):
     docs = documents(spark, rows)
     out = mixing.mix(docs, epochs=2.0)
     assert out.columns == [*docs.columns, "copy", "shuffle_key"]
+    order = [r["shuffle_key"] for r in out.collect()]
+    assert order == sorted(order) and out.rdd.getNumPartitions() == 8
+    places = out.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(places) == 8 and max(r["count"] for r in places) < 2 * len(order) / 8
     sizes = Counter(r[3] or "" for r in rows)
     total = sum(math.sqrt(n) for n in sizes.values())
     expected = Counter()
