@@ -249,6 +249,7 @@ ORACLE_SQL = {
     """,
     "stream_kingdom_counts": KINGDOM_COUNTS,
     "stream_category_report": CATEGORY_REPORT,
+    "stream_triggered": CATEGORY_REPORT,
     "stream_kingdom_exact": KINGDOM_EXACT,
     "stream_snapshots": f"""
         SELECT {CATEGORY_COLUMNS}, CAST(number AS BIGINT) AS epoch_id,
