@@ -25,7 +25,7 @@ go through, but for ``n_words`` and ``n_removed``, which are replaced in any cas
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from uuid import uuid4
 
@@ -33,11 +33,11 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldtally.llm.common import others, plainly_named, quoted, run_folder, written
+from fieldtally.llm.common import keyed_runs, others, plainly_named, quoted, run_folder, written
 
 #: Bytes of text in a unit, unless one document has more.
 UNIT_BYTES = 4 << 20
@@ -333,6 +333,19 @@ def in_units(docs: DataFrame) -> DataFrame:
     return spark.table(name)
 
 
+def answered(
+    sent: DataFrame, number: Column, shards: int, answer: Callable[[pd.DataFrame], pd.DataFrame]
+) -> DataFrame:
+    """The answers of all shards, each of which is a task of its own: none has to do the work of two."""
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for shard in keyed_runs(batches, "number"):
+            yield answer(shard)
+
+    numbered = sent.withColumn("number", number.cast("int"))
+    return numbered.repartitionById(shards, F.col("number")).mapInPandas(work, ANSWERED)
+
+
 def drop_repeats(docs: DataFrame, words: int = 20) -> DataFrame:
     """Documents with ``text`` less the words of all windows that start earlier as well.
 
@@ -363,9 +376,9 @@ def drop_repeats(docs: DataFrame, words: int = 20) -> DataFrame:
         return asking(group, found, answers)[1].sent(unit_id)
 
     rows = own.groupBy("unit").applyInPandas(sketch, ASKED)
-    often = written(rows.groupBy("row", "shard").applyInPandas(merged, ANSWERED), "often")
+    often = written(answered(rows, F.col("row") * shards + F.col("shard"), DEPTH * shards, merged), "often")
     questions = own.groupBy("unit").cogroup(often.groupBy("unit")).applyInPandas(ask, ASKED)
-    firsts = written(questions.groupBy("shard").applyInPandas(judged, ANSWERED), "firsts")
+    firsts = written(answered(questions, F.col("shard"), shards, judged), "firsts")
 
     schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
     names = docs.columns
