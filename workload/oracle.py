@@ -106,7 +106,7 @@ ORACLE_SQL = {
         FROM ({LAST_DAY}) GROUP BY 1
     """,
     "count_by_kingdom_in_parts": """
-        SELECT coalesce(p_name, 'Title Unavailable') AS kingdom, count(*) AS count FROM part GROUP BY 1
+        SELECT coalesce(c_name, 'Title Unavailable') AS kingdom, count(*) AS count FROM customer GROUP BY 1
     """,
     "parse_core": f"""
         SELECT topic, kingdom, scientific_name AS "scientificName" FROM ({OBSERVATIONS})

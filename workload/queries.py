@@ -391,11 +391,11 @@ def count_by_kingdom_followed(spark, sf_dir):
 
 @registered
 def count_by_kingdom_in_parts(spark, sf_dir):
-    """Part names as kingdoms: so many that a document is published in parts, and merged from them."""
-    parts = mirror.table(spark, sf_dir, "part")
-    topic = F.get(F.array(*map(F.lit, mirror.TOPICS)), (F.col("p_partkey") % 3).cast("int"))
-    core = parts.select(
-        topic.alias("topic"), F.col("p_name").alias("kingdom"), F.col("p_type").alias("scientificName")
+    """Customers' names as kingdoms: so many that a document is published in parts, and merged from them."""
+    customers = mirror.table(spark, sf_dir, "customer")
+    topic = F.get(F.array(*map(F.lit, mirror.TOPICS)), (F.col("c_custkey") % 3).cast("int"))
+    core = customers.select(
+        topic.alias("topic"), F.col("c_name").alias("kingdom"), F.col("c_mktsegment").alias("scientificName")
     )
     path = run_folder(spark, "results")
     write = sinks.result_writer("parquet", path, part_bytes=PART_BYTES)
