@@ -177,3 +177,48 @@ def test_large_hosts_are_salted(spark, monkeypatch):
     rows = [(i, f"https://{'big' if i < 30 else i}.example/{i}", page(i)) for i in range(36)] + [(99, None, page(2))] * 9
     found = wrappers.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert sorted((r["page_id"], r["text"]) for r in found) == sorted((i, article(2 if i == 99 else i)) for i, _, _ in rows)
+
+
+def whole_host(i):
+    """A notice on five pages of sixty; a line that says the same on all pages but one."""
+    notice = "<div class='z'><p>Our server moves tonight, please be patient.</p></div>" if i in RARE else ""
+    edition = f"<div class='e'><p>Edition: {'second' if i == 41 else 'first'}</p></div>"
+    return bare(i).replace("<div><b>Read</b>", f"{notice}{edition}<div><b>Read</b>")
+
+
+def whole_host_article(i):
+    return bare_article(i) + f"\nEdition: {'second' if i == 41 else 'first'}"
+
+
+RARE = (3, 11, 24, 38, 52)
+
+
+def test_all_pages_of_a_host_decide(spark, monkeypatch):
+    pages = spark.createDataFrame([(i, f"https://a.example/{i}", whole_host(i)) for i in range(60)], "page_id long, url string, html string")
+    for merged in (wrappers.MERGED_PARTS, 2):
+        monkeypatch.setattr(wrappers, "MERGED_PARTS", merged)
+        found = {r["page_id"]: r["text"] for r in wrappers.main_text(pages).collect()}
+        assert found == {i: whole_host_article(i) for i in range(60)}
+
+
+def test_wrappers_are_those_of_plain_python(spark):
+    hosts = {
+        "https://a.example/": [page(i) for i in range(30)] * 2, "https://b.example/": [bare(i) for i in range(14)] + [bare(1)] * 3,
+        "https://c.example/": [""], "https://d.example/": [whole_host(i) for i in range(60)], "https://e.example/": ["x", "<p>y"],
+        "https://f.example/": [f"<body><div id=reader-comments><p>All of text {i} stands in here</p></div><p>{i % 2}</p></body>" for i in range(9)],
+        "https://g.example/": ["<body><div><p>the same</p><nav>menu</nav></div></body>", "<body><div><p>the same</p></div></body>"],
+        "https://h.example/": [page(i, True).replace("<h1>", f"<h1 class='{'k' if i < 4 else 'l'} x'>") for i in range(9)],
+    }
+    rows = [(None, url, html) for url, pages in hosts.items() for html in pages]
+    found = {r["host"]: r["wrapper"] for r in wrappers.wrappers(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found == {url.split("/")[2]: wrappers.infer(pages) for url, pages in hosts.items()}
+
+
+def test_marks_of_single_pages_do_not_widen_the_wrapper():
+    import json
+
+    word = lambda n: "".join(chr(97 + int(c)) for c in str(n))
+    pages = [page(i).replace("<article>", f"<article id=post-{word(i)}>").replace("<h1>", f"<h1 id={word(i)}>") for i in range(200)]
+    wrapper = wrappers.infer(pages)
+    assert len(json.loads(wrapper)["nodes"]) <= 2 * len(json.loads(wrappers.infer([page(i) for i in range(200)]))["nodes"])
+    assert [wrappers.extract(p, wrapper) for p in pages] == [article(i) for i in range(200)]
