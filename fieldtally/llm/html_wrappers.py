@@ -621,8 +621,10 @@ def outlines(pages: DataFrame) -> DataFrame:
 
     def outlined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = pd.DataFrame([outline(page) for page in batch["html"]], index=batch.index, columns=list(OUTLINE))
-            yield pd.concat([batch[["host", "page"]], found], axis=1)
+            for at in range(0, len(batch), 500):  # outlines are larger than pages
+                some = batch.iloc[at : at + 500]
+                found = pd.DataFrame([outline(page) for page in some["html"]], index=some.index, columns=list(OUTLINE))
+                yield pd.concat([some[["host", "page"]], found], axis=1)
 
     schema = "host string, page long, " + ", ".join(f"{name} {kind}" for name, kind in OUTLINE.items())
     return written(rows.mapInPandas(outlined, schema).dropDuplicates(["host", "page"]), "outlines")
